@@ -12,51 +12,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions.scalars import rank_discount
-from shelfrank.operators.ordinal import running_sums, split_ordinal, value_bucket
+from shelfrank.operators.ordinal import rank_by_score, running_sums
 
 
 def rank_all(df: DataFrame, score: str = "relevance", ties: list[Column] | None = None) -> DataFrame:
     """Rank every row of a user by falling score; long histories are cut by score range."""
-    return split_ordinal(
-        df,
-        ["user_idx"],
-        [F.col(score).desc(), *(ties or [F.col("item_idx")])],
-        [-value_bucket(df, score), -F.col(score), F.floor(F.col("item_idx") / 4096)],
-        "rank",
-    )
+    return rank_by_score(df, ["user_idx"], score, ties)
 
 
-def per_user(df: DataFrame, k: int) -> DataFrame:
-    """One row per user with what all ranking metrics need, from a single pass.
+def _user_heads(df: DataFrame, k: int, user: list[str]) -> DataFrame:
+    """Per user what the metrics at ``k`` need; at most ``k`` rows per user are ordered.
 
-    At most ``k`` ranks per user enter the ordered part.
+    Positions count the rows that are present, so a gap in the ranks does not matter.
     """
-    kept = df.where(F.col("rank") <= k)
-    by_rank = Window.partitionBy("user_idx").orderBy("rank")
-    by_response = Window.partitionBy("user_idx").orderBy(F.col("response").desc(), "rank")
-    placed = kept.select(
-        "user_idx",
-        "rank",
-        "response",
-        "revenue",
-        F.row_number().over(by_rank).alias("pos"),
-        F.row_number().over(by_response).alias("ideal_pos"),
+    by_rank = Window.partitionBy(*user).orderBy("rank")
+    by_response = Window.partitionBy(*user).orderBy(F.col("response").desc(), "rank")
+    placed = df.where(F.col("rank") <= k).withColumns(
+        {"pos": F.row_number().over(by_rank), "ideal_pos": F.row_number().over(by_response)}
     )
-    head = placed.groupBy("user_idx").agg(
-        F.avg("response").alias("precision"),
-        F.max(F.when(F.col("response") > 0, 1).otherwise(0)).alias("hit"),
+    return placed.groupBy(*user).agg(
+        F.avg("response").alias("p"),
+        F.max(F.when(F.col("response") > 0, 1.0).otherwise(0.0)).alias("hit"),
         F.sum(F.col("response") * rank_discount("pos")).alias("dcg"),
         F.sum(F.col("response") * rank_discount("ideal_pos")).alias("idcg"),
-        F.sum(F.col("revenue") * rank_discount("rank")).alias("disc_revenue"),
-        F.sum("revenue").alias("revenue"),
-    )
-    first_hit = df.groupBy("user_idx").agg(
-        F.min(F.when(F.col("response") > 0, F.col("rank"))).alias("first_hit"),
-        F.avg("response").alias("rate"),
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("response").alias("responses"),
+        F.sum(F.col("revenue") * rank_discount("rank")).alias("disc"),
     )
-    return first_hit.join(head, "user_idx", "left")
 
 
 def precision_at_k(df: DataFrame, k: int, denominator: str = "present") -> DataFrame:
@@ -69,7 +49,7 @@ def precision_at_k(df: DataFrame, k: int, denominator: str = "present") -> DataF
 
 def ndcg_at_k(df: DataFrame, k: int) -> DataFrame:
     """Mean NDCG over users with any response in the first k; 0 when there are none."""
-    users = per_user(df, k).where(F.col("idcg") > 0)
+    users = _user_heads(df, k, ["user_idx"]).where(F.col("idcg") > 0)
     return users.agg(F.coalesce(F.avg(F.col("dcg") / F.col("idcg")), F.lit(0.0)).alias("ndcg_at_k"))
 
 
@@ -120,20 +100,8 @@ def ranking_metrics(df: DataFrame, k: int, by: list[str] | None = None) -> DataF
     if "rank" not in df.columns:
         df = rank_all(df)
     groups = by or []
-    kept = df.where(F.col("rank") <= k)
     user = [*groups, "user_idx"]
-    by_rank = Window.partitionBy(*user).orderBy("rank")
-    by_response = Window.partitionBy(*user).orderBy(F.col("response").desc(), "rank")
-    placed = kept.withColumns(
-        {"pos": F.row_number().over(by_rank), "ideal_pos": F.row_number().over(by_response)}
-    )
-    head = placed.groupBy(*user).agg(
-        F.avg("response").alias("p"),
-        F.max(F.when(F.col("response") > 0, 1.0).otherwise(0.0)).alias("hit"),
-        F.sum(F.col("response") * rank_discount("pos")).alias("dcg"),
-        F.sum(F.col("response") * rank_discount("ideal_pos")).alias("idcg"),
-        F.sum(F.col("revenue") * rank_discount("rank")).alias("disc"),
-    )
+    head = _user_heads(df, k, user)
     every = df.groupBy(*user).agg(
         F.min(F.when(F.col("response") > 0, F.col("rank"))).alias("first"),
         F.sum("revenue").alias("rev"),

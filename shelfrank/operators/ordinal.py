@@ -1,9 +1,9 @@
 """Row numbers, running sums and sliding windows that survive very large groups.
 
-A plain ``row_number() over (partition by user order by ts)`` sorts one user's rows in
-one task. Here a group is first cut into blocks along its own order. Only the
-block sizes (small, pre-aggregated map-side) are summed up along the whole group;
-the rows themselves are sorted block by block, on many tasks.
+A plain ``row_number() over (partition by user order by ts)`` sorts one user's rows in one
+task. That is right for ordinary groups. A group above ``ROWS_PER_TASK`` rows is cut into
+blocks along its own order: the block sizes (small, pre-aggregated map-side) are summed
+up along the group, the rows themselves are sorted block by block, on many tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1_000_000
+
 
 def split_ordinal(
     df: DataFrame,
@@ -18,59 +20,90 @@ def split_ordinal(
     order: list[Column],
     blocks: list[Column],
     out: str = "ordinal",
+    bucket_by: str | None = None,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Number rows 1, 2, ... within ``part`` along ``order``.
 
-    ``blocks`` go from coarse to fine. Each must never fall along ``order`` among the rows
-    that agree on the coarser ones; the result then does not depend on the choice.
+    ``blocks`` go from coarse to fine and cut the groups above ``limit`` rows. Each must never
+    fall along ``order`` among the rows that agree on the coarser ones; the result then
+    does not depend on the choice. ``bucket_by`` puts a first block in front: the place of
+    that column, falling, among its approximate quantiles.
     """
+    keys = part or ["__all"]
+    keyed = df if part else df.withColumn("__all", F.lit(0))
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    # No more than rows / limit groups can pass this filter, so the list may be broadcast.
+    hot = F.broadcast(counts.where(F.col("__n") > limit).select(*keys, F.lit(True).alias("__hot")))
+    tagged = keyed.join(hot, keys, "left")
+    if bucket_by is not None:
+        tagged = with_bucket(tagged, bucket_by, keyed.join(hot, keys, "left_semi"))
+        blocks = [-F.col("__bucket"), *blocks]
     names = [f"__block{i}" for i in range(len(blocks))]
-    tagged = df.withColumns(dict(zip(names, blocks)))
-    sizes = tagged.groupBy(*part, *names).agg(F.count(F.lit(1)).alias("__size"))
-    starts = sizes.withColumn("__start", F.lit(0).cast("long")).drop("__size")
+    tagged = tagged.withColumns({n: F.when(F.col("__hot"), b) for n, b in zip(names, blocks)}).drop("__bucket")
+
+    sizes = tagged.where(F.col("__hot")).groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__size"))
+    starts = sizes.select(*keys, *names, F.lit(0).cast("long").alias("__start"))
     for depth in range(len(names), 0, -1):
-        keys = part + names[:depth]
+        upto = keys + names[:depth]
         before = (
-            Window.partitionBy(*part, *names[: depth - 1])
+            Window.partitionBy(*keys, *names[: depth - 1])
             .orderBy(names[depth - 1])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        level = sizes if depth == len(names) else sizes.groupBy(*keys).agg(F.sum("__size").alias("__size"))
-        ahead = level.select(*keys, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__ahead"))
+        level = sizes if depth == len(names) else sizes.groupBy(*upto).agg(F.sum("__size").alias("__size"))
+        ahead = level.select(*upto, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__ahead"))
         starts = (
-            starts.join(ahead, keys)
-            .withColumn("__start", F.col("__start") + F.col("__ahead"))
-            .drop("__ahead")
+            starts.join(ahead, upto).withColumn("__start", F.col("__start") + F.col("__ahead")).drop("__ahead")
         )
-    within = Window.partitionBy(*part, *names).orderBy(*order)
+    within = Window.partitionBy(*keys, *names).orderBy(*order)
     return (
-        tagged.join(starts, part + names)
-        .withColumn(out, F.row_number().over(within).cast("long") + F.col("__start"))
-        .drop("__start", *names)
+        tagged.withColumn(out, F.row_number().over(within).cast("long"))
+        .join(starts, keys + names, "left")
+        .withColumn(out, F.col(out) + F.coalesce(F.col("__start"), F.lit(0)))
+        .select(*df.columns, out)
     )
 
 
-def value_bucket(df: DataFrame, column: str, pieces: int = 64) -> Column:
-    """Bucket number that rises with ``column``, cut at its approximate quantiles."""
+def with_bucket(df: DataFrame, column: str, sample: DataFrame | None = None, pieces: int = 256) -> DataFrame:
+    """Add ``__bucket``, a number that rises with ``column``, cut at the approximate quantiles
+    of ``sample`` (the table itself unless given)."""
     shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = df.agg(F.percentile_approx(column, shares, 1000).alias("cuts")).scalar()
-    return F.size(F.filter(F.coalesce(cuts, F.array().cast("array<double>")), lambda cut: cut < F.col(column)))
+    source = df if sample is None else sample
+    cuts = source.agg(F.percentile_approx(F.col(column).cast("double"), shares, 1000).alias("cuts")).scalar()
+    above = F.size(F.filter("__cuts", lambda cut: cut < F.col(column)))
+    return (
+        df.withColumn("__cuts", cuts)
+        .withColumn("__bucket", F.when(F.col("__cuts").isNull(), 0).otherwise(above))
+        .drop("__cuts")
+    )
 
 
-def global_rank(df: DataFrame, score: str, tie: str, out: str = "rank", tie_desc: bool = False) -> DataFrame:
-    """Position in the order (score falling, tie-breaking id) over a whole table.
+def rank_by_score(
+    df: DataFrame,
+    part: list[str],
+    score: str,
+    ties: list[Column] | None = None,
+    tie_block: Column | None = None,
+    out: str = "rank",
+    limit: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Position in the order (score falling, ties) within each group.
 
-    Cut by score quantile, then by score, then by id range, so neither a long table nor
-    a score that most rows share ends up in one task.
+    A group above ``limit`` rows is cut by score quantile, then by score and id range, so
+    neither its length nor a score that most of its rows share puts it into one task.
     """
-    shift = -1 if tie_desc else 1
-    blocks = [
-        -value_bucket(df, score),
-        -F.col(score),
-        F.floor(F.col(tie) * shift / 65536),
-    ]
-    tie_order = F.col(tie).desc() if tie_desc else F.col(tie).asc()
-    return split_ordinal(df, [], [F.col(score).desc(), tie_order], blocks, out)
+    last = F.floor(F.col("item_idx") / 4096) if tie_block is None else tie_block
+    order = [F.col(score).desc(), *(ties or [F.col("item_idx")])]
+    fine = F.struct((-F.col(score)).alias("s"), last.alias("t"))
+    return split_ordinal(df, part, order, [fine], out, bucket_by=score, limit=limit)
+
+
+def global_rank(df: DataFrame, score: str, tie: str, out: str = "rank", tie_desc: bool = False) -> DataFrame:
+    """Position in the order (score falling, tie-breaking id) over a whole table."""
+    direction = F.col(tie).desc() if tie_desc else F.col(tie).asc()
+    sign = -1 if tie_desc else 1
+    return rank_by_score(df, [], score, [direction], F.floor(F.col(tie) * sign / 65536), out)
 
 
 def running_sums(df: DataFrame, order: str, sums: list[str], descending: bool = False) -> DataFrame:
@@ -78,11 +111,12 @@ def running_sums(df: DataFrame, order: str, sums: list[str], descending: bool =
 
     ``order`` must be unique (aggregate by it first).
     """
-    sign = -1 if descending else 1
-    tagged = df.withColumn("__bucket", value_bucket(df, order) * sign)
+    tagged = with_bucket(df, order)
+    if descending:
+        tagged = tagged.withColumn("__bucket", -F.col("__bucket"))
     totals = tagged.groupBy("__bucket").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 64 bucket totals reach this window.
+    # At most 256 bucket totals reach this window.
     offsets = totals.select(
         "__bucket", *[F.coalesce(F.sum(f"__t_{s}").over(before), F.lit(0)).alias(f"__o_{s}") for s in sums]
     )

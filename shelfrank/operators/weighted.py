@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions import chance
-from shelfrank.operators.ordinal import running_sums, split_ordinal, value_bucket
+from shelfrank.operators.ordinal import rank_by_score, running_sums, split_ordinal
 from shelfrank.session import cut_lineage
 
 HEAVY_SHARE = 4  # wanting more than a quarter of the catalogue counts as heavy
@@ -83,12 +83,8 @@ def weighted_choice(wanted: DataFrame, weights: DataFrame, seed: int) -> DataFra
         .join(spread, "piece")
         .withColumn("key", F.log(chance.open_uniform(f"{seed}h", "user_idx", "item_idx")) / F.col("weight"))
     )
-    ranked = split_ordinal(
-        keyed.select("user_idx", "item_idx", "key"),
-        ["user_idx"],
-        [F.col("key").desc(), F.col("item_idx")],
-        [-value_bucket(keyed, "key")],
-        "turn",
-    ).select("user_idx", "item_idx", "turn")
+    ranked = rank_by_score(keyed.select("user_idx", "item_idx", "key"), ["user_idx"], "key", out="turn").select(
+        "user_idx", "item_idx", "turn"
+    )
     every = ranked if light is None else light.unionByName(ranked)
     return every.join(wanted, "user_idx").where(F.col("turn") <= F.col("cnt")).drop("cnt")

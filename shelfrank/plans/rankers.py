@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.config import DEFAULTS, NotFittedError
 from shelfrank.functions.scalars import price_response_relevance
-from shelfrank.operators.ordinal import split_ordinal, value_bucket
+from shelfrank.operators.ordinal import rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
 
@@ -110,13 +110,7 @@ class ClassRanker(Recommender):
             F.round(self.probability(), 9).alias("probability"),
         )
         scored = scored.withColumn("relevance", F.round(self.score(F.col("probability"), F.col("price")), 6))
-        return split_ordinal(
-            scored,
-            ["segment", "attr_class"],
-            [F.col("relevance").desc(), F.col("item_idx")],
-            [-value_bucket(scored, "relevance"), -F.col("relevance"), F.floor(F.col("item_idx") / 4096)],
-            "rank",
-        )
+        return rank_by_score(scored, ["segment", "attr_class"], "relevance")
 
     def predict(self, log, k, users, items, filter_seen=True):
         by = ["segment", "attr_class"]

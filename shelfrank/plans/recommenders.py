@@ -16,7 +16,7 @@ from shelfrank.config import DEFAULTS, NotFittedError
 from shelfrank.functions import chance
 from shelfrank.operators import graph, neighbours, ngram
 from shelfrank.operators.blocks import block_top_k
-from shelfrank.operators.ordinal import global_rank, top_ranked
+from shelfrank.operators.ordinal import global_rank, rank_by_score, top_ranked
 from shelfrank.operators.sequences import last_n
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.session import cut_lineage
@@ -384,9 +384,10 @@ class Ngram(Recommender):
             .join(vocabulary, "item_idx")
             .withColumn("relevance", F.round(F.col("probability") * F.col("price"), 9))
         )
-        from_context = unseen_at(
-            contexts, _rank_within(followers, "ctx"), seen, k, by=["ctx"]
-        ).select("user_idx", "item_idx", "relevance", "price")
+        ranked = rank_by_score(followers.drop("probability"), ["ctx"], "relevance")
+        from_context = unseen_at(contexts, ranked, seen, k, by=["ctx"]).select(
+            "user_idx", "item_idx", "relevance", "price"
+        )
 
         dearest = global_rank(vocabulary, "price", "item_idx")
         base = ngram.unobserved_probability(self.model, contexts).select("user_idx", "unseen_probability")
@@ -408,19 +409,6 @@ class Ngram(Recommender):
         return with_fallback(best, self.popularity.predict(log, k, users, items, filter_seen))
 
 
-def _rank_within(scored: DataFrame, group: str) -> DataFrame:
-    """Dense ranks per group by falling relevance, long groups cut by score."""
-    from shelfrank.operators.ordinal import split_ordinal, value_bucket
-
-    return split_ordinal(
-        scored.select(group, "item_idx", "relevance", "price"),
-        [group],
-        [F.col("relevance").desc(), F.col("item_idx")],
-        [-value_bucket(scored, "relevance"), -F.col("relevance"), F.floor(F.col("item_idx") / 4096)],
-        "rank",
-    )
-
-
 class WalkEmbedding(Recommender):
     """Skip-gram embedding of random walks; ranks by ``sigmoid(cosine) * price``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.operators.metrics import ranking_metrics
-from shelfrank.operators.ordinal import split_ordinal, value_bucket
+from shelfrank.operators.ordinal import rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import Recommender
 
@@ -86,13 +86,7 @@ def prequential_popularity(
         .join(earlier, ["round", "item_idx"], "left")
         .withColumn("relevance", F.round(F.coalesce(F.col("relevance"), F.lit(0.5)), 9))
     )
-    ranked = split_ordinal(
-        scored,
-        ["round"],
-        [F.col("relevance").desc(), F.col("item_idx")],
-        [-value_bucket(scored, "relevance"), -F.col("relevance"), F.floor(F.col("item_idx") / 65536)],
-        "rank",
-    )
+    ranked = rank_by_score(scored, ["round"], "relevance")
     first_met = log.groupBy("user_idx", "item_idx").agg(F.min("iter_no").alias("first"))
     seen = first_met.where(F.col("first") < iterations).select(
         "user_idx",

@@ -131,12 +131,12 @@ def constant_response(spark, d):
 
 @query(
     "parametric_response",
-    sql("SELECT user_idx, item_idx, order_id, line_no, round(0.7 * response + (paid / 100000) * 0.3, 6) AS mixed FROM log"),
+    sql("SELECT user_idx, item_idx, order_id, line_no, round(0.7 * response + (paid / 100000) * 0.3, 9) AS mixed FROM log"),
 )
 def parametric_response(spark, d):
     log = views.interactions(spark, d).withColumn("size", F.col("paid") / 100000)
     mix = transformers.ParametricResponse(inputCols=["response", "size"], outputCol="mixed", weights=[0.7, 0.3])
-    return mix.transform(log).select("user_idx", "item_idx", "order_id", "line_no", F.round("mixed", 6).alias("mixed"))
+    return mix.transform(log).select("user_idx", "item_idx", "order_id", "line_no", F.round("mixed", 9).alias("mixed"))
 
 
 @query(
