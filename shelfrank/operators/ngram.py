@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.operators.ordinal import top_ranked
 from shelfrank.operators.sequences import last_n
+from shelfrank.session import cut_lineage
 
 
 def clamp_order(order: int) -> int:
@@ -40,7 +41,8 @@ def purchases(log: DataFrame, max_len: int) -> DataFrame:
 
 def fit(log: DataFrame, order: int = 2, alpha: float = 1.0, max_len: int = 50) -> NgramModel:
     order = clamp_order(order)
-    recent = purchases(log, max_len)
+    # Read by the counts, the vocabulary and the contexts, so written out once.
+    recent = cut_lineage(purchases(log, max_len).select("user_idx", "item_idx", "pos"))
     by_user = Window.partitionBy("user_idx").orderBy("pos")
     steps = [F.lag("item_idx", back).over(by_user) for back in range(order - 1, 0, -1)]
     oldest = F.lag("item_idx", order - 1).over(by_user) if order > 1 else F.lit(0)

@@ -1,9 +1,11 @@
 """Row numbers, running sums and sliding windows that survive very large groups.
 
 A plain ``row_number() over (partition by user order by ts)`` sorts one user's rows in one
-task. That is right for ordinary groups. A group above ``ROWS_PER_TASK`` rows is cut into
-blocks along its own order: the block sizes (small, pre-aggregated map-side) are summed
-up along the group, the rows themselves are sorted block by block, on many tasks.
+task. That is right for ordinary groups. When some group has more than ``ROWS_PER_TASK`` rows,
+it is cut into blocks along its own order: the block sizes (small, pre-aggregated
+map-side) are summed up along the group, the rows themselves are sorted block by
+block, on many tasks. Callers that know a bound on the group size say so; otherwise one
+aggregation looks for large groups first.
 """
 
 from __future__ import annotations
@@ -11,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfrank.session import cut_lineage
+
 ROWS_PER_TASK = 1_000_000
+PIECES = 256
 
 
 def split_ordinal(
@@ -21,28 +26,39 @@ def split_ordinal(
     blocks: list[Column],
     out: str = "ordinal",
     bucket_by: str | None = None,
-    limit: int = ROWS_PER_TASK,
+    at_most: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Number rows 1, 2, ... within ``part`` along ``order``.
 
     ``blocks`` go from coarse to fine and cut the groups above ``limit`` rows. Each must never
     fall along ``order`` among the rows that agree on the coarser ones; the result then
     does not depend on the choice. ``bucket_by`` puts a first block in front: the place of
-    that column, falling, among its approximate quantiles.
+    that column, falling, among its approximate quantiles. ``at_most`` is a bound on the
+    group size that the caller can prove.
     """
+    limit = limit or ROWS_PER_TASK
+    row_number = F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("long")
+    if at_most is not None and at_most <= limit:
+        return df.withColumn(out, row_number)
     keys = part or ["__all"]
     keyed = df if part else df.withColumn("__all", F.lit(0))
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # No more than rows / limit groups can pass this filter, so the list may be broadcast.
-    hot = F.broadcast(counts.where(F.col("__n") > limit).select(*keys, F.lit(True).alias("__hot")))
-    tagged = keyed.join(hot, keys, "left")
+    large = counts.where(F.col("__n") > limit).select(*keys, F.lit(True).alias("__hot"))
+    large = cut_lineage(large)
+    if large.isEmpty():
+        return df.withColumn(out, row_number)
+
+    # No more than rows / limit groups are in this list, so it may be broadcast.
+    tagged = keyed.join(F.broadcast(large), keys, "left")
     if bucket_by is not None:
-        tagged = with_bucket(tagged, bucket_by, keyed.join(hot, keys, "left_semi"))
-        blocks = [-F.col("__bucket"), *blocks]
+        cuts = _quantiles(keyed.join(F.broadcast(large), keys, "left_semi"), bucket_by)
+        blocks = [-_bucket(cuts, bucket_by), *blocks]
     names = [f"__block{i}" for i in range(len(blocks))]
-    tagged = tagged.withColumns({n: F.when(F.col("__hot"), b) for n, b in zip(names, blocks)}).drop("__bucket")
-
-    sizes = tagged.where(F.col("__hot")).groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__size"))
+    tagged = tagged.withColumns({n: F.when(F.col("__hot"), b) for n, b in zip(names, blocks)})
+    sizes = cut_lineage(
+        tagged.where(F.col("__hot")).groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__size"))
+    )
     starts = sizes.select(*keys, *names, F.lit(0).cast("long").alias("__start"))
     for depth in range(len(names), 0, -1):
         upto = keys + names[:depth]
@@ -65,18 +81,17 @@ def split_ordinal(
     )
 
 
-def with_bucket(df: DataFrame, column: str, sample: DataFrame | None = None, pieces: int = 256) -> DataFrame:
-    """Add ``__bucket``, a number that rises with ``column``, cut at the approximate quantiles
-    of ``sample`` (the table itself unless given)."""
-    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    source = df if sample is None else sample
-    cuts = source.agg(F.percentile_approx(F.col(column).cast("double"), shares, 1000).alias("cuts")).scalar()
-    above = F.size(F.filter("__cuts", lambda cut: cut < F.col(column)))
-    return (
-        df.withColumn("__cuts", cuts)
-        .withColumn("__bucket", F.when(F.col("__cuts").isNull(), 0).otherwise(above))
-        .drop("__cuts")
-    )
+def _quantiles(df: DataFrame, column: str) -> list[float]:
+    """At most ``PIECES - 1`` cut points of a numeric column."""
+    shares = [i / PIECES for i in range(1, PIECES)]
+    found = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10000)).first()[0]
+    return sorted(set(found or []))
+
+
+def _bucket(cuts: list[float], column: str) -> Column:
+    """A number that rises with the column: how many cut points lie below it."""
+    points = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
+    return F.size(F.filter(points, lambda cut: cut < F.col(column)))
 
 
 def rank_by_score(
@@ -86,7 +101,8 @@ def rank_by_score(
     ties: list[Column] | None = None,
     tie_block: Column | None = None,
     out: str = "rank",
-    limit: int = ROWS_PER_TASK,
+    at_most: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Position in the order (score falling, ties) within each group.
 
@@ -96,31 +112,47 @@ def rank_by_score(
     last = F.floor(F.col("item_idx") / 4096) if tie_block is None else tie_block
     order = [F.col(score).desc(), *(ties or [F.col("item_idx")])]
     fine = F.struct((-F.col(score)).alias("s"), last.alias("t"))
-    return split_ordinal(df, part, order, [fine], out, bucket_by=score, limit=limit)
+    return split_ordinal(df, part, order, [fine], out, bucket_by=score, at_most=at_most, limit=limit)
 
 
-def global_rank(df: DataFrame, score: str, tie: str, out: str = "rank", tie_desc: bool = False) -> DataFrame:
+def global_rank(
+    df: DataFrame,
+    score: str,
+    tie: str,
+    out: str = "rank",
+    tie_desc: bool = False,
+    at_most: int | None = None,
+    limit: int | None = None,
+) -> DataFrame:
     """Position in the order (score falling, tie-breaking id) over a whole table."""
     direction = F.col(tie).desc() if tie_desc else F.col(tie).asc()
     sign = -1 if tie_desc else 1
-    return rank_by_score(df, [], score, [direction], F.floor(F.col(tie) * sign / 65536), out)
+    block = F.floor(F.col(tie) * sign / 65536)
+    return rank_by_score(df, [], score, [direction], block, out, at_most, limit)
 
 
-def running_sums(df: DataFrame, order: str, sums: list[str], descending: bool = False) -> DataFrame:
+def running_sums(
+    df: DataFrame, order: str, sums: list[str], descending: bool = False, limit: int | None = None
+) -> DataFrame:
     """Add ``cum_<name>``: the sum of ``name`` up to and including the row.
 
-    ``order`` must be unique (aggregate by it first).
+    ``order`` must be unique (aggregate by it first); the aggregate is written out, as it is
+    read up to three times here.
     """
-    tagged = with_bucket(df, order)
-    if descending:
-        tagged = tagged.withColumn("__bucket", -F.col("__bucket"))
+    limit = limit or ROWS_PER_TASK
+    table = cut_lineage(df)
+    direction = F.col(order).desc() if descending else F.col(order).asc()
+    if table.count() <= limit:
+        so_far = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+        return table.withColumns({f"cum_{s}": F.sum(s).over(so_far) for s in sums})
+    bucket = _bucket(_quantiles(table, order), order)
+    tagged = table.withColumn("__bucket", -bucket if descending else bucket)
     totals = tagged.groupBy("__bucket").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 256 bucket totals reach this window.
+    # At most PIECES bucket totals reach this window.
     offsets = totals.select(
         "__bucket", *[F.coalesce(F.sum(f"__t_{s}").over(before), F.lit(0)).alias(f"__o_{s}") for s in sums]
     )
-    direction = F.col(order).desc() if descending else F.col(order).asc()
     within = Window.partitionBy("__bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     return (
         tagged.join(offsets, "__bucket")

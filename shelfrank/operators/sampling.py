@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfrank.config import EmptyDataFrameError, NotFittedError
 from shelfrank.functions import chance
 from shelfrank.functions.scalars import dot
+from shelfrank.operators.ordinal import split_ordinal
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str) -> DataFrame:
@@ -124,10 +125,13 @@ def users_with_random_items(users: DataFrame, items: DataFrame, k: int, seed: in
 
 def item_slots(items: DataFrame) -> DataFrame:
     """Items numbered 0 .. n-1 in the order of their id."""
-    from shelfrank.operators.ordinal import split_ordinal
-
     numbered = split_ordinal(
-        items.select("item_idx"), [], [F.col("item_idx")], [F.floor(F.col("item_idx") / 65536)], "slot"
+        items.select("item_idx"),
+        [],
+        [F.col("item_idx")],
+        [F.floor(F.col("item_idx") / 65536)],
+        "slot",
+        at_most=items.count(),
     )
     return numbered.withColumn("slot", F.col("slot") - 1)
 

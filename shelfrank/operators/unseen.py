@@ -25,6 +25,7 @@ def unseen_at(
     wanted: Column | None = None,
     by: list[str] | None = None,
     who: list[str] | None = None,
+    catalogue: int | None = None,
 ) -> DataFrame:
     """Items at chosen positions among each user's unseen items.
 
@@ -32,6 +33,7 @@ def unseen_at(
     columns, present in ``users`` too, that choose one of several rankings. ``wanted`` is an
     array column of ``k`` positions held by ``users``; without it the first ``k`` are taken.
     ``who`` is the key of ``users`` and ``seen`` (``user_idx`` unless given).
+    ``catalogue`` is the number of items, which bounds what one user can have seen.
     Returns ``who``, ``by``, the other columns of ``ranked`` and ``nth``, the place in the list.
     Positions past the end of a ranking give no row.
     """
@@ -55,6 +57,7 @@ def unseen_at(
             [F.col("rank")],
             [F.floor(F.col("rank") / 4096)],
             "__before",
+            at_most=catalogue,
         ).withColumn("__gap", F.col("rank") - F.col("__before"))
         counts = numbered.groupBy(*who).agg(
             *[

@@ -21,6 +21,7 @@ from shelfrank.functions.scalars import price_response_relevance
 from shelfrank.operators.ordinal import rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
+from shelfrank.session import cut_lineage
 
 ATTRIBUTE_CLASSES = 10
 ITEM_BLOCKS = 64
@@ -110,12 +111,16 @@ class ClassRanker(Recommender):
             F.round(self.probability(), 9).alias("probability"),
         )
         scored = scored.withColumn("relevance", F.round(self.score(F.col("probability"), F.col("price")), 6))
-        return rank_by_score(scored, ["segment", "attr_class"], "relevance")
+        return rank_by_score(scored, ["segment", "attr_class"], "relevance", at_most=items.count())
 
     def predict(self, log, k, users, items, filter_seen=True):
         by = ["segment", "attr_class"]
         asked = self.with_class(users).select("user_idx", *by)
-        picks = unseen_at(asked, self.ranked(users, items), log if filter_seen else None, k, by=by)
+        # Read twice below: to place what was seen and to look the picks up.
+        ranked = cut_lineage(self.ranked(users, items))
+        picks = unseen_at(
+            asked, ranked, log if filter_seen else None, k, by=by, catalogue=items.count()
+        )
         return picks.withColumnRenamed("nth", "rank").select(RECS + ["probability"])
 
 

@@ -207,16 +207,14 @@ def rec_svm(spark, d):
     return _shown(_recommend(spark, d, SvmRanker()))
 
 
-def _fallback_sql(name: str) -> str:
-    return f"""SELECT user_idx, item_idx, round(relevance, 5) AS relevance, price, rank::BIGINT AS rank FROM {name} UNION ALL
-      SELECT user_idx, item_idx, round(relevance, 5) AS relevance, price, rank::BIGINT AS rank FROM pop
-      WHERE user_idx NOT IN (SELECT user_idx FROM {name})"""
+def _fallback_sql(name: str, digits: int) -> str:
+    return f"""{show_sql(name, digits)} UNION ALL {show_sql('pop', digits)} WHERE user_idx NOT IN (SELECT user_idx FROM {name})"""
 
 
 @query(
     "rec_knn",
     sql(
-        _fallback_sql("knn"),
+        _fallback_sql("knn", 6),
         pop_sql(TRAIN),
         recent_sql(50, TRAIN),
         SESSION,
@@ -232,13 +230,13 @@ def _fallback_sql(name: str) -> str:
     ),
 )
 def rec_knn(spark, d):
-    return _shown(_recommend(spark, d, SequenceKnn("session")), 5)
+    return _shown(_recommend(spark, d, SequenceKnn("session")))
 
 
 @query(
     "rec_ngram",
     sql(
-        _fallback_sql("ng"),
+        _fallback_sql("ng", 5),
         pop_sql(TRAIN),
         NGRAM.replace("WHERE response > 0", f"WHERE response > 0 AND {TRAIN}"),
         "tails AS (SELECT user_idx, item_idx AS ctx FROM bought WHERE back = 1)",

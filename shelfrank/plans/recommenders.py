@@ -17,6 +17,7 @@ from shelfrank.functions import chance
 from shelfrank.operators import graph, neighbours, ngram
 from shelfrank.operators.blocks import block_top_k
 from shelfrank.operators.ordinal import global_rank, rank_by_score, top_ranked
+from shelfrank.operators.sampling import item_slots
 from shelfrank.operators.sequences import last_n
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.session import cut_lineage
@@ -58,10 +59,10 @@ def with_fallback(recs: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def _ranked_list(
-    ranked: DataFrame, users: DataFrame, log: DataFrame | None, k: int, filter_seen: bool
+    ranked: DataFrame, users: DataFrame, log: DataFrame | None, k: int, filter_seen: bool, catalogue: int
 ) -> DataFrame:
     seen = log if filter_seen else None
-    picks = unseen_at(users.select("user_idx"), ranked, seen, k)
+    picks = unseen_at(users.select("user_idx"), ranked, seen, k, catalogue=catalogue)
     return picks.withColumnRenamed("nth", "rank").select(RECS)
 
 
@@ -79,8 +80,6 @@ class Random(Recommender):
         return self
 
     def predict(self, log, k, users, items, filter_seen=True):
-        from shelfrank.operators.sampling import item_slots
-
         ranked = (
             item_slots(items)
             .join(items.select("item_idx", "price"), "item_idx")
@@ -108,7 +107,12 @@ class Random(Recommender):
         positions = F.aggregate(steps, F.array().cast("array<long>"), draw)
         asked = asked.withColumn("__positions", positions)
         picks = unseen_at(
-            asked, ranked, log if filter_seen else None, k, wanted=F.col("__positions")
+            asked,
+            ranked,
+            log if filter_seen else None,
+            k,
+            wanted=F.col("__positions"),
+            catalogue=items.count(),
         ).withColumn("relevance", chance.uniform(self.seed, "user_idx", "item_idx"))
         return _by_score(picks, k).select(RECS)
 
@@ -137,10 +141,11 @@ class Popularity(Recommender):
             scored = catalogue.join(self.model, "item_idx", "left").withColumn(
                 "relevance", F.coalesce(F.col("relevance"), F.lit(0.5))
             )
-        return global_rank(scored.withColumn("relevance", F.round("relevance", 9)), "relevance", "item_idx")
+        rounded = scored.withColumn("relevance", F.round("relevance", 9))
+        return global_rank(rounded, "relevance", "item_idx", at_most=items.count())
 
     def predict(self, log, k, users, items, filter_seen=True):
-        return _ranked_list(self.ranked(items), users, log, k, filter_seen)
+        return _ranked_list(self.ranked(items), users, log, k, filter_seen, items.count())
 
 
 class UCB(Recommender):
@@ -180,10 +185,10 @@ class UCB(Recommender):
         return scored.withColumn("relevance", F.round(value, 9))
 
     def ranked(self, items: DataFrame) -> DataFrame:
-        return global_rank(self.scores(items), "relevance", "item_idx", tie_desc=True)
+        return global_rank(self.scores(items), "relevance", "item_idx", tie_desc=True, at_most=items.count())
 
     def predict(self, log, k, users, items, filter_seen=True):
-        return _ranked_list(self.ranked(items), users, log, k, filter_seen)
+        return _ranked_list(self.ranked(items), users, log, k, filter_seen, items.count())
 
     def score_pairs(self, pairs: DataFrame) -> DataFrame:
         if self.model is None:
@@ -384,15 +389,16 @@ class Ngram(Recommender):
             .join(vocabulary, "item_idx")
             .withColumn("relevance", F.round(F.col("probability") * F.col("price"), 9))
         )
-        ranked = rank_by_score(followers.drop("probability"), ["ctx"], "relevance")
-        from_context = unseen_at(contexts, ranked, seen, k, by=["ctx"]).select(
+        size = items.count()
+        ranked = rank_by_score(followers.drop("probability"), ["ctx"], "relevance", at_most=size)
+        from_context = unseen_at(contexts, ranked, seen, k, by=["ctx"], catalogue=size).select(
             "user_idx", "item_idx", "relevance", "price"
         )
 
-        dearest = global_rank(vocabulary, "price", "item_idx")
+        dearest = global_rank(vocabulary, "price", "item_idx", at_most=size)
         base = ngram.unobserved_probability(self.model, contexts).select("user_idx", "unseen_probability")
         from_rest = (
-            unseen_at(contexts, dearest, seen, k)
+            unseen_at(contexts, dearest, seen, k, catalogue=size)
             .join(base, "user_idx")
             .select(
                 "user_idx",

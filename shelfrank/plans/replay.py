@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfrank.operators.explore import correlations
 from shelfrank.operators.metrics import ranking_metrics
 from shelfrank.operators.ordinal import rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import Recommender
+from shelfrank.session import cut_lineage
 
 METRICS = [
     "precision_at_k",
@@ -86,7 +88,8 @@ def prequential_popularity(
         .join(earlier, ["round", "item_idx"], "left")
         .withColumn("relevance", F.round(F.coalesce(F.col("relevance"), F.lit(0.5)), 9))
     )
-    ranked = rank_by_score(scored, ["round"], "relevance")
+    size = items.count()
+    ranked = cut_lineage(rank_by_score(scored, ["round"], "relevance", at_most=size))
     first_met = log.groupBy("user_idx", "item_idx").agg(F.min("iter_no").alias("first"))
     seen = first_met.where(F.col("first") < iterations).select(
         "user_idx",
@@ -94,7 +97,7 @@ def prequential_popularity(
         F.explode(F.sequence(F.col("first") + 1, F.lit(iterations))).alias("round"),
     )
     asked = users.select("user_idx", rounds)
-    recs = unseen_at(asked, ranked, seen, k, by=["round"], who=["round", "user_idx"])
+    recs = unseen_at(asked, ranked, seen, k, by=["round"], who=["round", "user_idx"], catalogue=size)
     bought = (
         log.where(F.col("response") > 0)
         .select("user_idx", "item_idx", F.col("iter_no").alias("round"))
@@ -170,16 +173,12 @@ def performance_change(metrics: DataFrame) -> DataFrame:
 
 def metric_correlation(metrics: DataFrame) -> DataFrame:
     """Correlation of every pair of metrics over (name, phase, iteration)."""
-    from shelfrank.operators.explore import correlations
-
     wide = metrics.groupBy("name", "phase", "iter_no").pivot("metric", METRICS).agg(F.first("value"))
     return correlations(wide, METRICS)
 
 
 def revenue_trajectory(metrics: DataFrame) -> DataFrame:
     """Revenue per iteration with its running total, per recommender."""
-    from pyspark.sql import Window
-
     # One row per iteration: the window holds as many rows as there are iterations.
     so_far = Window.partitionBy("name").orderBy("iter_no").rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -191,8 +190,6 @@ def revenue_trajectory(metrics: DataFrame) -> DataFrame:
 
 def leaderboard(metrics: DataFrame, phase: str = "test") -> DataFrame:
     """Recommenders by falling total revenue of a phase."""
-    from pyspark.sql import Window
-
     totals = (
         metrics.where((F.col("metric") == "revenue") & (F.col("phase") == phase))
         .groupBy("name")
@@ -223,8 +220,6 @@ def run_iterations(
 
     Each iteration is a set of Spark jobs; only the metrics rows are gathered into one table.
     """
-    from shelfrank.session import cut_lineage
-
     measured = None
     fitted = False
     for number, name in iterations:
