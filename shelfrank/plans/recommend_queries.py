@@ -267,7 +267,7 @@ def fallback_union(spark, d):
     """A model that covers one segment only, completed by popularity."""
     log, users, items = _train(spark, d), views.users(spark, d), views.items(spark, d)
     covered = UCB().fit(log).predict(log, K, users.where(F.col("segment") == "BUILDING"), items)
-    return _shown(with_fallback(covered, Popularity().fit(log).predict(log, K, users, items)))
+    return _shown(with_fallback(covered, Popularity().fit(log), log, K, users, items))
 
 
 @query("rec_graph")

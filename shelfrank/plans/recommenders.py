@@ -52,10 +52,26 @@ def without_seen(recs: DataFrame, log: DataFrame) -> DataFrame:
     return recs.join(log.select("user_idx", "item_idx").distinct(), ["user_idx", "item_idx"], "left_anti")
 
 
-def with_fallback(recs: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Rows of ``recs``, plus the fallback's rows for users ``recs`` says nothing about."""
-    missing = fallback.join(recs.select("user_idx").distinct(), "user_idx", "left_anti")
-    return recs.select(RECS).unionByName(missing.select(RECS))
+def with_fallback(
+    recs: DataFrame,
+    fallback: Recommender,
+    log: DataFrame | None,
+    k: int,
+    users: DataFrame,
+    items: DataFrame,
+    filter_seen: bool = True,
+) -> DataFrame:
+    """``recs``, plus the fallback's rows for the users ``recs`` says nothing about.
+
+    The list is written out first. The fallback then runs on the missing users and their part
+    of the log only, and not at all when nobody is missing.
+    """
+    found = cut_lineage(recs.select(RECS))
+    missing = users.join(found.select("user_idx").distinct(), "user_idx", "left_anti")
+    if missing.isEmpty():
+        return found
+    theirs = None if log is None else log.join(missing.select("user_idx"), "user_idx", "left_semi")
+    return found.unionByName(fallback.predict(theirs, k, missing, items, filter_seen).select(RECS))
 
 
 def _ranked_list(
@@ -221,7 +237,8 @@ class Content(Recommender):
         self.profiles: DataFrame | None = None
 
     def fit(self, log, users=None, items=None):
-        self.profiles = content_profiles(log, self.vectors, self.size)
+        # Counted, scored and checked for cold users below, so written out once.
+        self.profiles = cut_lineage(content_profiles(log, self.vectors, self.size))
         return self
 
     def predict(self, log, k, users, items, filter_seen=True):
@@ -352,7 +369,7 @@ class SequenceKnn(Recommender):
             "relevance", F.round(F.col("score") * F.col("price"), 6)
         )
         best = _by_score(priced, k).select(RECS)
-        return with_fallback(best, self.popularity.predict(log, k, users, items, filter_seen))
+        return with_fallback(best, self.popularity, log, k, users, items, filter_seen)
 
 
 class Ngram(Recommender):
@@ -412,7 +429,7 @@ class Ngram(Recommender):
             F.max("relevance").alias("relevance"), F.max("price").alias("price")
         )
         best = _by_score(merged, k).select(RECS)
-        return with_fallback(best, self.popularity.predict(log, k, users, items, filter_seen))
+        return with_fallback(best, self.popularity, log, k, users, items, filter_seen)
 
 
 class WalkEmbedding(Recommender):
@@ -507,7 +524,7 @@ class GraphPropagation(Recommender):
         seen = log if filter_seen else None
         best = block_top_k(asked, catalogue, seen, k, "sigmoid_dot_price")
         best = best.join(items.select("item_idx", "price"), "item_idx").select(RECS)
-        return with_fallback(best, self.popularity.predict(log, k, users, items, filter_seen))
+        return with_fallback(best, self.popularity, log, k, users, items, filter_seen)
 
 
 class Als(Recommender):
@@ -548,4 +565,4 @@ class Als(Recommender):
         )
         best = block_top_k(asked, catalogue, log if filter_seen else None, k, "dot")
         best = best.join(items.select("item_idx", "price"), "item_idx").select(RECS)
-        return with_fallback(best, self.popularity.predict(log, k, users, items, filter_seen))
+        return with_fallback(best, self.popularity, log, k, users, items, filter_seen)

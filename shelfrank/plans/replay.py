@@ -72,6 +72,7 @@ def prequential_popularity(
     iteration's model is the sum of the earlier counts. From ``frozen_from`` on the model is no
     longer refitted; the seen filter still grows.
     """
+    log = cut_lineage(log.select("user_idx", "item_idx", "relevance", "response", "iter_no"))
     rounds = F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("round")
     counts = log.groupBy("item_idx", "iter_no").agg(
         F.sum("relevance").alias("pos"), F.count(F.lit(1)).alias("total")
@@ -126,6 +127,7 @@ def compare(
     on all training iterations, judged on the later ones. The name is a column of the
     recommendations, and one aggregation evaluates all of them.
     """
+    log = cut_lineage(log.select("user_idx", "item_idx", "relevance", "response", "iter_no"))
     tagged = None
     for phase, fitted_until, first, last in (
         ("train", 0, 1, last_train),
