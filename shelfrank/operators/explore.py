@@ -33,6 +33,19 @@ def interaction_density(log: DataFrame, users: DataFrame, items: DataFrame) -> D
     )
 
 
+def candidate_counts(users: DataFrame, items: DataFrame, log: DataFrame) -> DataFrame:
+    """Items each user has not met; users with no candidate are left out."""
+    total = items.agg(F.count(F.lit(1)).alias("n")).scalar()
+    known = log.select("user_idx", "item_idx").distinct().join(items.select("item_idx"), "item_idx", "left_semi")
+    met = known.groupBy("user_idx").agg(F.count(F.lit(1)).alias("met"))
+    return (
+        users.select("user_idx")
+        .join(met, "user_idx", "left")
+        .select("user_idx", (total - F.coalesce(F.col("met"), F.lit(0))).alias("candidates"))
+        .where(F.col("candidates") > 0)
+    )
+
+
 def counts_per(log: DataFrame, key: str) -> DataFrame:
     return log.groupBy(key).agg(F.count(F.lit(1)).alias("interactions"))
 

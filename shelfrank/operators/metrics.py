@@ -6,8 +6,6 @@ best), ``response``, ``revenue``. Every metric returns a one-row DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -287,24 +285,32 @@ def evaluate(
     label: str = "response",
     probability: str | None = None,
 ) -> DataFrame:
-    """Long table (metric, value) of the named metrics."""
-    spark = df.sparkSession
-    sources: dict[str, Callable[[], DataFrame]] = {}
+    """Long table (metric, value) of the named metrics; one job per family, not per metric."""
+    known = {*REGRESSION, *BINARY, *MULTICLASS}
     for name in names:
-        if name in REGRESSION:
-            sources[name] = lambda n=name: regression_metrics(df, prediction, label).select(F.col(n).alias("value"))
-        elif name == "areaUnderROC":
-            sources[name] = lambda: auc_roc(df, prediction, label).select(F.col("auc_roc").alias("value"))
-        elif name == "areaUnderPR":
-            sources[name] = lambda: auc_pr(df, prediction, label).select(F.col("auc_pr").alias("value"))
-        elif name in MULTICLASS:
-            sources[name] = lambda n=MULTICLASS[name]: multiclass_metrics(
-                df, prediction, label, probability
-            ).select(F.col(n).alias("value"))
-        else:
+        if name not in known:
             raise ValueError(f"unknown metric {name}")
-    result = spark.createDataFrame([], "metric string, value double")
-    for name, make in sources.items():
-        row = make().select(F.lit(name).alias("metric"), F.col("value").cast("double").alias("value"))
-        result = result.unionByName(row)
+    if not names:
+        return df.sparkSession.createDataFrame([], "metric string, value double")
+    families: list[tuple[DataFrame, dict[str, str]]] = []
+    regression = {name: name for name in names if name in REGRESSION}
+    if regression:
+        families.append((regression_metrics(df, prediction, label), regression))
+    if "areaUnderROC" in names:
+        families.append((auc_roc(df, prediction, label), {"areaUnderROC": "auc_roc"}))
+    if "areaUnderPR" in names:
+        families.append((auc_pr(df, prediction, label), {"areaUnderPR": "auc_pr"}))
+    multiclass = {name: MULTICLASS[name] for name in names if name in MULTICLASS}
+    if multiclass:
+        families.append((multiclass_metrics(df, prediction, label, probability), multiclass))
+    result = None
+    for row, columns in families:
+        values = F.array(
+            *[
+                F.struct(F.lit(name).alias("metric"), F.col(column).cast("double").alias("value"))
+                for name, column in columns.items()
+            ]
+        )
+        long = row.select(F.inline(values))
+        result = long if result is None else result.unionByName(long)
     return result

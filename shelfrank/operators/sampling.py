@@ -15,9 +15,32 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str) -> Data
     return df.where(chance.uniform(seed, key) < fraction)
 
 
-def sample_exact(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
-    """``n`` random rows: the n smallest draws, kept per task and merged (TakeOrdered)."""
-    return df.withColumn("__u", chance.uniform(seed, key)).orderBy("__u", key).limit(n).drop("__u")
+SMALL_SAMPLE = 10_000
+DRAW_BUCKETS = 65_536
+
+
+def sample_exact(df: DataFrame, n: int, seed: int, key: str, small: int = SMALL_SAMPLE) -> DataFrame:
+    """The ``n`` rows with the smallest draws.
+
+    A small sample keeps n rows per task and merges them. A large one counts the draws in
+    equal slices of [0, 1) first: the slices before the n-th draw are taken whole, only the one
+    that holds it is ordered.
+    """
+    drawn = df.withColumn("__u", chance.uniform(seed, key))
+    if n <= small:
+        return drawn.orderBy("__u", key).limit(n).drop("__u")
+    drawn = drawn.withColumn("__slice", F.floor(F.col("__u") * DRAW_BUCKETS).cast("int"))
+    # At most DRAW_BUCKETS counts reach the driver.
+    counts = drawn.groupBy("__slice").agg(F.count(F.lit(1)).alias("n")).orderBy("__slice").collect()
+    taken, last = 0, DRAW_BUCKETS
+    for row in counts:
+        if taken + row.n > n:
+            last = row["__slice"]
+            break
+        taken += row.n
+    whole = drawn.where(F.col("__slice") < last)
+    part = drawn.where(F.col("__slice") == last).orderBy("__u", key).limit(n - taken)
+    return whole.unionByName(part).drop("__u", "__slice")
 
 
 def sample_by_stratum(
@@ -67,13 +90,14 @@ class TableGenerator:
         self._source = df.drop("__u")
         return self
 
-    def generate(self, n: int) -> DataFrame:
+    def generate(self, n: int, partitions: int | None = None) -> DataFrame:
         if self._source is None:
             raise NotFittedError("fit the generator before generate")
         available = self._source.count()
         if n > available:
             raise ValueError(f"{n} rows wanted, {available} available")
-        self._drawn, self.size = sample_exact(self._source, n, self.seed, self.key), n
+        drawn = sample_exact(self._source, n, self.seed, self.key)
+        self._drawn, self.size = drawn.repartition(partitions) if partitions else drawn, n
         return self._drawn
 
     def sample(self, fraction: float, call_no: int = 0) -> DataFrame:

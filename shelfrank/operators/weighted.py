@@ -74,7 +74,7 @@ def weighted_choice(wanted: DataFrame, weights: DataFrame, seed: int) -> DataFra
         return light.join(wanted, "user_idx").where(F.col("turn") <= F.col("cnt")).drop("cnt")
 
     # Items meet the heavy users slice by slice; cnt > n/4 bounds the rows by 4 x output.
-    pieces = 64
+    pieces = max(64, n_items // 1024)
     spread = heavy.select(
         "user_idx", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece")
     )

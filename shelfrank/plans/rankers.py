@@ -24,7 +24,7 @@ from shelfrank.plans.recommenders import RECS, Recommender
 from shelfrank.session import cut_lineage
 
 ATTRIBUTE_CLASSES = 10
-ITEM_BLOCKS = 64
+ITEMS_PER_BLOCK = 16_384
 
 
 def training_table(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -98,8 +98,10 @@ class ClassRanker(Recommender):
         if self.model is None:
             raise NotFittedError("fit before predict")
         classes = self.with_class(users).select("segment", "attr_class").distinct()
-        block = F.pmod(F.xxhash64("item_idx"), F.lit(ITEM_BLOCKS)).cast("int")
-        spread = classes.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(ITEM_BLOCKS - 1))))
+        n_items = items.count()
+        blocks = max(64, n_items // ITEMS_PER_BLOCK)
+        block = F.pmod(F.xxhash64("item_idx"), F.lit(blocks)).cast("int")
+        spread = classes.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         pairs = items.select("item_idx", "category", "item_attr_0", "price", block.alias("__block")).join(
             spread, "__block"
         )
@@ -111,7 +113,7 @@ class ClassRanker(Recommender):
             F.round(self.probability(), 9).alias("probability"),
         )
         scored = scored.withColumn("relevance", F.round(self.score(F.col("probability"), F.col("price")), 6))
-        return rank_by_score(scored, ["segment", "attr_class"], "relevance", at_most=items.count())
+        return rank_by_score(scored, ["segment", "attr_class"], "relevance", at_most=n_items)
 
     def predict(self, log, k, users, items, filter_seen=True):
         by = ["segment", "attr_class"]

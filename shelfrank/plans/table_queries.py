@@ -413,6 +413,19 @@ def selector_random_k(spark, d):
     return selector.transform(views.users(spark, d).select("user_idx"))
 
 
+@query(
+    "candidate_counts",
+    sql(
+        """SELECT user_idx, count(*) AS candidates FROM users u CROSS JOIN items i WHERE NOT EXISTS (
+        SELECT 1 FROM log l WHERE l.user_idx = u.user_idx AND l.item_idx = i.item_idx) GROUP BY 1"""
+    ),
+)
+def candidate_counts(spark, d):
+    """Unseen candidates per user, counted without listing a single pair."""
+    users, items, log = views.users(spark, d), views.items(spark, d), views.interactions(spark, d)
+    return explore.candidate_counts(users, items, log)
+
+
 @query(
     "filter_seen",
     sql(

@@ -164,5 +164,8 @@ def test_unknown_metric(judged):
 
 def test_evaluate_many(judged):
     scored = judged.withColumn("relevance", F.col("rank").cast("double"))
-    got = metrics.evaluate(scored, ["rmse", "areaUnderROC"])
-    assert {r.metric for r in got.collect()} == {"rmse", "areaUnderROC"}
+    wanted = ["rmse", "areaUnderROC", "areaUnderPR", "accuracy", "f1", "mae"]
+    got = {r.metric: r.value for r in metrics.evaluate(scored, wanted).collect()}
+    assert set(got) == set(wanted)
+    assert got["mae"] == pytest.approx(1.0) and got["areaUnderROC"] == pytest.approx(1.0)
+    assert metrics.evaluate(scored, []).count() == 0

@@ -168,6 +168,14 @@ def test_samples_do_not_depend_on_partitioning(spark, small):
     assert first == again and len(first) == 20
 
 
+@pytest.mark.parametrize("n", [1, 50, 149, 150])
+def test_large_samples_equal_small_ones(spark, small, n):
+    users = views.users(spark, small).select("user_idx")
+    usual = sorted(r.user_idx for r in sampling.sample_exact(users, n, 1, "user_idx").collect())
+    sliced = sorted(r.user_idx for r in sampling.sample_exact(users, n, 1, "user_idx", small=0).collect())
+    assert usual == sliced and len(sliced) == n
+
+
 def test_stratum_that_is_too_small(spark, small):
     users = views.users(spark, small)
     with pytest.raises(Exception, match="too few rows"):
