@@ -6,15 +6,20 @@ started query that stops when the available input is read.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Executors need no copy of this package: its functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

@@ -1,0 +1,25 @@
+"""Python workers find all they need when the package is on the driver's path only."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as registered
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "4").getOrCreate()
+for name in ("rec_content", "copula_sample", "stream_last_n"):
+    assert registered.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+print("all ran")
+"""
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    script = SCRIPT.format(repo=str(Path(__file__).parent.parent))
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=400
+    )
+    assert "all ran" in done.stdout, done.stderr[-3000:]
