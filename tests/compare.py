@@ -34,11 +34,10 @@ def differences(df: DataFrame, expected: pd.DataFrame) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(expected.columns)}"
     if len(got) != len(expected):
         return f"rows {len(got)} != {len(expected)}"
-    got, expected = _ordered(got), _ordered(expected)
-    kinds = [(c, got[c].dtype.kind, expected[c].dtype.kind) for c in got.columns]
-    odd = [k for k in kinds if k[1] != k[2]]
+    odd = [(c, got[c].dtype, expected[c].dtype) for c in got.columns if got[c].dtype != expected[c].dtype]
     if odd:
         return f"types {odd}"
+    got, expected = _ordered(got), _ordered(expected)
     for name in got.columns:
         left, right = got[name], expected[name]
         same = (left == right) | (left.isna() & right.isna())
