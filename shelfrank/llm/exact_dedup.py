@@ -20,6 +20,8 @@ from shelfrank.session import new_folder
 # Copies compared with one copy of the kept text; larger groups are salted.
 GROUP_ROWS = 256
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Many small state partitions must not reserve disk space ahead.
+_NO_RESERVE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -39,8 +41,9 @@ def keep_state(digests: DataFrame, folder: str) -> DataFrame:
     ``keep`` struct and ``copies``.
     """
     spark = digests.sparkSession
-    before = spark.conf.get(_PROVIDER, None)
+    before = {key: spark.conf.get(key, None) for key in (_PROVIDER, _NO_RESERVE)}
     spark.conf.set(_PROVIDER, _ROCKSDB)
+    spark.conf.set(_NO_RESERVE, "false")
     try:
         source = digests.inputFiles()[0].rpartition("/")[0] if digests.inputFiles() else None
         if source is None:
@@ -63,7 +66,8 @@ def keep_state(digests: DataFrame, folder: str) -> DataFrame:
             "kept",
         )
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def exact_dedup(
