@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from shelfrank.llm import bpe, exact_dedup, mixture, toxicity  # noqa: F401
+from shelfrank.llm import bpe, exact_dedup, mixture, near_dedup, toxicity  # noqa: F401
 from shelfrank.llm.registry import ORACLES, QUERIES  # noqa: F401
