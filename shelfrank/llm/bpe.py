@@ -272,11 +272,12 @@ class _Broadcast:
         from uuid import uuid4
 
         self.id = uuid4().hex
-        self.held = spark.sparkContext.broadcast(vocabulary)
+        # Plain arrays: workers need not have this class's module.
+        self.held = spark.sparkContext.broadcast(vars(vocabulary))
 
     @property
     def value(self) -> Vocabulary:
-        return self.held.value
+        return Vocabulary(**self.held.value)
 
 
 def _with_column(df: DataFrame, out: str, kind: T.DataType) -> T.StructType:

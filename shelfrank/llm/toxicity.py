@@ -27,7 +27,7 @@ from shelfrank.llm.registry import query
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bounds of the training sample: texts per class and bytes of one text.
-TRAIN_TEXTS = 2500
+TRAIN_TEXTS = 1500
 TRAIN_TEXT_BYTES = 16_384
 BUCKETS = 1 << 20
 DIMENSIONS = 8
@@ -81,30 +81,46 @@ class ToxicityModel:
 
 
 class Bags:
-    """Texts as windows of word numbers, and words as bags of buckets."""
+    """Texts as windows of word numbers, and words as bags of buckets; built slice by slice."""
 
     def __init__(self, texts: list[str]):
-        found = Words(pa.array(texts, pa.large_string()), SPACE_WORDS)
-        _, first, self.word = np.unique(found.hash, return_index=True, return_inverse=True)
-        data = found.raw.tobytes()
-        names = [data[found.start[i] : found.end[i]].decode() for i in first]
-        buckets, sizes = word_features(names)
-        pairs = np.unique(found.row.astype(np.int64) * len(names) + self.word)
-        seen_in = np.bincount(pairs % max(len(names), 1), minlength=len(names))
-        seen = np.bincount(buckets, np.repeat(seen_in, sizes), BUCKETS)
-        self.all_sizes = sizes
+        known: dict[int, int] = {}
+        words, rows, buckets, sizes, seen_in = [], [], [], [], []
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(texts, pa.large_string()), pa.array(np.arange(len(texts)))], ["text", "row"]
+        )
+        for part in text_slices([batch]):
+            found = Words(part.column("text"), SPACE_WORDS)
+            keys, first, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
+            new = [i for i, key in enumerate(keys.tolist()) if key not in known]
+            data = found.raw.tobytes()
+            names = [data[found.start[first[i]] : found.end[first[i]]].decode() for i in new]
+            known.update(zip(keys[new].tolist(), range(len(known), len(known) + len(new)), strict=True))
+            got, size = word_features(names)
+            buckets.append(got.astype(np.int32))
+            sizes.append(size.astype(np.int32))
+            number = np.fromiter((known[k] for k in keys.tolist()), np.int32, len(keys))
+            words.append(number[inverse])
+            rows.append(part.column("row").to_numpy()[found.row].astype(np.int32))
+            pairs = np.unique(found.row.astype(np.int64) * len(keys) + inverse)
+            seen_in.append(number[pairs % max(len(keys), 1)])
+        joined = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (words, rows, buckets, sizes, seen_in)]
+        self.word, self.text, bucket, self.all_sizes, seen = joined
+        del words, rows, buckets, sizes, seen_in, known
+        texts_with = np.bincount(seen, minlength=len(self.all_sizes))
+        often = np.bincount(bucket, np.repeat(texts_with, self.all_sizes), BUCKETS)
         # Only buckets seen often enough have a vector.
-        self.active = np.flatnonzero(seen >= LEAST_SEEN)
-        number = np.full(BUCKETS, -1)
+        self.active = np.flatnonzero(often >= LEAST_SEEN)
+        number = np.full(BUCKETS, -1, np.int32)
         number[self.active] = np.arange(len(self.active))
-        owner = np.repeat(np.arange(len(names)), sizes)
-        kept = number[buckets] >= 0
-        self.buckets, self.owner = number[buckets[kept]], owner[kept]
-        self.text = found.row
-        place = np.arange(len(found.hash)) - found.first[found.row]
+        kept = number[bucket] >= 0
+        self.owner = np.repeat(np.arange(len(self.all_sizes), dtype=np.int32), self.all_sizes)[kept]
+        self.buckets = number[bucket[kept]]
+        counts = np.bincount(self.text, minlength=len(texts))
+        place = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
         head = place % WINDOW == 0
-        self.window = np.cumsum(head) - 1
-        self.window_text = found.row[head]
+        self.window = (np.cumsum(head) - 1).astype(np.int32)
+        self.window_text = self.text[head]
         self.texts = len(texts)
 
     def means(self, worth: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +148,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
     calibrated on the sample. With one class only, the bias alone tells it.
     """
     rng = np.random.default_rng(seed)
-    embeddings = np.zeros((BUCKETS, DIMENSIONS))
+    embeddings = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     weights = np.zeros((2, DIMENSIONS))
     weights[1] = rng.normal(0, 0.5, DIMENSIONS)
     weights[0] = -weights[1]
@@ -141,14 +157,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
         share = np.clip(y.mean() if len(y) else 0.0, 0.02, 0.98)
         return ToxicityModel(np.zeros(BUCKETS), float(np.log(share / (1 - share))), embeddings, weights)
     bags = Bags(texts)
-    embeddings[bags.active] = rng.normal(0, 0.001, (len(bags.active), DIMENSIONS))
+    vectors = rng.normal(0, 0.001, (len(bags.active), DIMENSIONS))
     bias = np.zeros(2)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
     every = np.arange(len(y))
     mean = np.zeros(len(bags.window_text))
     for epoch in range(WARM_EPOCHS + EPOCHS):
         difference = weights[1] - weights[0]
-        worth = embeddings[bags.active] @ difference
+        worth = vectors @ difference
         if epoch < WARM_EPOCHS:
             group, text, use = bags.text, every, every
             mean, count = bags.means(worth, bags.text, len(y))
@@ -164,11 +180,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
         # The first step of each phase sets the scale; later ones shrink with the error.
         if epoch in (0, WARM_EPOCHS):
             rate = RATE / (np.abs(slope).max() + 1e-12)
-        down = embeddings[bags.active].T @ slope
-        embeddings[bags.active] -= rate * slope[:, None] * difference
+        down = vectors.T @ slope
+        vectors -= rate * slope[:, None] * difference
         for k, sign in ((1, 1.0), (0, -1.0)):
             weights[k] -= 0.02 * sign * down / (np.abs(down).max() + 1e-12)
             bias[k] -= 0.5 * sign * off.sum()
+    embeddings[bags.active] = vectors
     worth = np.zeros(BUCKETS)
     worth[bags.active] = embeddings[bags.active] @ (weights[1] - weights[0])
     mean, _ = bags.means(worth[bags.active], bags.window, len(bags.window_text))
