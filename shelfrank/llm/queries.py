@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from shelfrank.llm import bpe, exact_dedup, licenses, mixture, near_dedup, nearest, token_files, toxicity  # noqa: F401
+from shelfrank.llm import bpe, exact_dedup, licenses, mixture, near_dedup, nearest, pages, token_files, toxicity  # noqa: F401
 from shelfrank.llm.registry import ORACLES, QUERIES  # noqa: F401
