@@ -43,6 +43,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a two-column list up to which it is sent to all tasks (some MB); longer ones are shuffled.
+LISTED = 300_000
+
+
+def listed(df: DataFrame) -> DataFrame:
+    """A short list of keys, marked for broadcast if a count of it allows that."""
+    return F.broadcast(df) if df.count() <= LISTED else df
+
+
 def word_count(text: Column) -> Column:
     """Number of words between ASCII white space; null and empty texts have none.
 

@@ -76,13 +76,17 @@ def exact_dedup(
     """Mark every row of ``docs`` with the group of equal texts it belongs to.
 
     Texts are equal when identical after each run of ASCII white space became one space; null counts
-    as empty. Adds ``keep_id`` (id of the row that stays: the smallest; null ids last; of repeated
-    ids the first row by file and row number), ``group_size``, ``kept`` and ``digest`` (binary). Other
-    columns are kept; an empty table gives an empty result. ``digest_bits`` cuts the digest short
+    as empty. One row per document: its id, ``keep_id`` (id of the row that stays: the smallest; null ids last;
+    of repeated ids the first row by file and row number), ``group_size``, ``kept`` and ``digest`` (binary).
+    An empty table gives an empty result; other columns, whatever their names, do not matter. ``digest_bits`` cuts the digest short
     (tests use it to make digests collide).
     """
-    spark = docs.sparkSession
-    located = _located(docs)
+    return _marked(_located(docs), id_col, text_col, digest_bits).drop("__file", "__row")
+
+
+def _marked(located: DataFrame, id_col: str, text_col: str, digest_bits: int = 256) -> DataFrame:
+    """As ``exact_dedup``, with the file and row of every document."""
+    spark = located.sparkSession
     norm = one_space(F.col(text_col))
     digest = F.unhex(F.sha2(norm, 256))
     if digest_bits < 256:
@@ -138,7 +142,7 @@ def exact_dedup(
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text a row with a smaller id has already; same columns."""
     located = _located(docs)
-    stay = exact_dedup(docs, id_col, text_col).where("kept").select("__file", "__row")
+    stay = _marked(located, id_col, text_col).where("kept").select("__file", "__row")
     return located.join(stay, ["__file", "__row"], "left_semi").select(*docs.columns)
 
 

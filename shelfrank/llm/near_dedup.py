@@ -24,16 +24,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfrank.llm.common import SPACE_WORDS, Words, components, mixed, run_hash, table, text_slices, written
+from shelfrank.llm.common import (
+    SPACE_WORDS,
+    Words,
+    components,
+    listed,
+    mixed,
+    run_hash,
+    table,
+    text_slices,
+    written,
+)
 from shelfrank.llm.registry import query
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BANDS, BAND_ROWS = 24, 4
-SAMPLES = 128
-SKETCH_BITS = 512
+BANDS, BAND_ROWS = 32, 5
+SAMPLES = 512
+SKETCH_BITS = 2048
 # Standard deviations of the samples below the threshold at which a sketch still passes.
-MARGIN = 5.0
+MARGIN = 4.5
 SEED = 20_24
 
 
@@ -94,7 +104,8 @@ def sketch_limit(similarity: float) -> int:
     least = max(0.0, similarity - MARGIN * spread)
     flips = 2 * SAMPLES * (1 - least)
     expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** flips)
-    return math.ceil(expected + 3 * math.sqrt(expected))
+    # Flips that meet in one bit undo each other; their number varies as well.
+    return math.ceil(expected + 3 * flips * math.sqrt(2 / SKETCH_BITS))
 
 
 def _set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -174,7 +185,7 @@ class NearDuplicates:
     """Links between the shingle sets of a table of texts."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
-        self.percent, self.words = percent, words
+        self.percent, self.words, self.sets = percent, words, None
         self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = self.texts.schema["id"].dataType.simpleString()
         self.prints = written(
@@ -186,37 +197,39 @@ class NearDuplicates:
         )
         limit = F.lit(sketch_limit(percent / 100))
         self.close = lambda left, right: differing_bits(left, right) <= limit
+        # One row per set: equal sets have equal samples.
+        filled = self.prints.where("node is not null")
+        once = filled.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")])
+        self.nodes = written(once, "nodes")
 
     def components(self) -> DataFrame:
         """``node, root`` of all nodes with a link."""
-        nodes = self.prints.where("node is not null")
-        # One row per set: the row with the smallest id stands for all equal ones.
-        first = nodes.groupBy("node").agg(F.min_by(F.struct("bands", "sketch"), "id").alias("x"))
-        keyed = written(
-            first.select("node", "x.sketch", F.explode("x.bands").alias("bucket")).select("bucket", "node", "sketch"), "buckets"
-        )
+        keyed = self.nodes.select("node", F.explode("bands").alias("bucket"))
         hubs = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last")
-        shared = keyed.join(hubs.select("bucket", "hub"), "bucket")
-        shared = written(shared, "shared")
+        shared = written(keyed.join(hubs.select("bucket", "hub"), "bucket"), "shared")
         edges = shared.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        sketches = shared.select("node", "sketch").dropDuplicates(["node"])
-        edges = (
-            edges.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-            .where(self.close(F.col("sa"), F.col("sb")))
-            .select("a", "b", differing_bits(F.col("sa"), F.col("sb")).alias("bits"))
-        )
-        edges = written(edges, "candidates")
+        edges = written(self.close_pairs(edges), "candidates")
+        self.add_sets(edges)
         best = edges.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
         links = written(self.confirmed(best), "links")
         roots = written(components(links), "roots")
-        apart = self.apart(edges.select("a", "b"), roots)
-        more = written(self.confirmed(apart), "links")
+        more = written(self.confirmed(self.apart(edges.select("a", "b"), roots)), "links")
         links = links.unionByName(more)
         roots = written(components(links), "roots")
-        more = written(self.confirmed(self.rest(shared, roots)), "links")
+        rest = written(self.rest(shared, roots), "rest")
+        self.add_sets(rest)
+        more = written(self.confirmed(rest), "links")
         return components(links.unionByName(more))
 
+    def close_pairs(self, edges: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` whose sketches differ in few enough bits, with their number."""
+        one = self.nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+        two = self.nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+        both = edges.join(one, "a").join(two, "b")
+        return both.where(self.close(F.col("sa"), F.col("sb"))).select(
+            "a", "b", differing_bits(F.col("sa"), F.col("sb")).alias("bits")
+        )
+
     @staticmethod
     def labelled(df: DataFrame, roots: DataFrame, name: str, out: str) -> DataFrame:
         """Add the component of the node ``name``; a node without links is its own."""
@@ -229,34 +242,49 @@ class NearDuplicates:
         return both.where("ra != rb").select("a", "b")
 
     def rest(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of one bucket and different components whose sketches are close."""
-        placed = self.labelled(shared.select("bucket", "node", "sketch"), roots, "node", "root")
+        """Pairs of one bucket and different components whose sizes and sketches are close.
+
+        Sets this similar differ in size by at most the threshold: their size classes, in steps
+        of it, are equal or neighbours.
+        """
+        placed = self.labelled(shared.select("bucket", "node"), roots, "node", "root")
         counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         mixed_ones = (
             counts.groupBy("bucket")
             .agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("largest"))
             .where("roots > 1").select("bucket", "largest")
         )
-        held = written(placed.join(mixed_ones, "bucket"), "mixed")
-        minor = held.where("root != largest").alias("x")
+        size = F.floor(F.log("n_shingles") / math.log(100 / self.percent)).cast("int").alias("size")
+        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", size, "sketch"), "node")
+        held = written(held, "mixed")
+        around = F.explode(F.array([F.col("size") + d for d in (-1, 0, 1)])).alias("size")
+        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", around).alias("x")
         close = self.close(F.col("x.sketch"), F.col("y.sketch"))
         # Both outside the largest component: each pair once.
         once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
-        on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & once & close
+        same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.size") == F.col("y.size"))
+        on = same & (F.col("x.root") != F.col("y.root")) & once & close
         return minor.join(held.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs similar enough on their full sets, built from the texts of the nodes in question."""
-        pairs = written(pairs, "pairs")
+    def add_sets(self, pairs: DataFrame) -> None:
+        """Build the sets of the pairs' nodes from their texts, unless they are there already."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        ids = self.prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-        texts = self.texts.join(ids.select("id").distinct(), "id", "left_semi")
-        sets = texts.select("text").mapInArrow(_sets(self.words), "node binary, values binary")
-        sets = written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-        joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("values").alias("left_values")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("values").alias("right_values")), "b"
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
+        wanted = written(self.nodes.select("node", "id").join(wanted, "node", "left_semi"), "wanted")
+        ids = listed(wanted.select("id").distinct())
+        found = self.texts.join(ids, self.texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text").mapInArrow(_sets(self.words), "node binary, values binary")
+        found = written(found.join(listed(wanted.select("node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
+        self.sets = found if self.sets is None else self.sets.unionByName(found)
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs similar enough on their full sets."""
+        joined = pairs.join(self.sets.select(F.col("node").alias("a"), F.col("values").alias("left_values")), "a").join(
+            self.sets.select(F.col("node").alias("b"), F.col("values").alias("right_values")), "b"
+        )
+        return joined.select("a", "b", "left_values", "right_values").mapInArrow(
+            _confirm(self.percent), "a binary, b binary"
         )
-        return joined.mapInArrow(_confirm(self.percent), "a binary, b binary")
 
 
 def near_duplicates(

@@ -157,6 +157,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
         share = np.clip(y.mean() if len(y) else 0.0, 0.02, 0.98)
         return ToxicityModel(np.zeros(BUCKETS), float(np.log(share / (1 - share))), embeddings, weights)
     bags = Bags(texts)
+    if not len(bags.active):  # no bucket is seen often enough: the bias tells the share of toxic texts
+        share = np.clip(y.mean(), 0.02, 0.98)
+        return ToxicityModel(np.zeros(BUCKETS), float(np.log(share / (1 - share))), embeddings, weights)
     vectors = rng.normal(0, 0.001, (len(bags.active), DIMENSIONS))
     bias = np.zeros(2)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
