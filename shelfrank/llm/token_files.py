@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import struct
 import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfrank.llm.chunks import ChunkTable
+from shelfrank.llm.chunks import ChunkTable, spans
 from shelfrank.llm.common import table, text_slices, worker_store, written
 from shelfrank.llm.registry import query
 from shelfrank.session import new_folder
@@ -41,6 +42,8 @@ HEADER = "<8sIIIIIqQ"
 CODE = "<IIQ"
 # A word that stands between words in one call of the tokenizer.
 MARK = "\x01"
+# ASCII punctuation that often closes a word.
+CLOSING = ".,;:!?|"
 
 
 class EliasFano:
@@ -150,19 +153,44 @@ class WordCoder:
         self.table = ChunkTable(self.encode_words)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        out: list = [None] * len(words)
-        plain = [i for i, w in enumerate(words) if MARK.encode() not in w and b"<|" not in w and len(w) < 1000]
-        odd = sorted(set(range(len(words))).difference(plain))
-        for i, ids in zip(odd, self._ids([words[i].decode() for i in odd]), strict=True):
+        """Ids of words. Closing punctuation behind letters and digits is a piece of its own for the
+        tokenizer too, and ASCII letters are lowered there: such words share their core."""
+        pieces: dict[str, int] = {}
+        parts, counts = [], []
+        for word in words:
+            text = word.decode()
+            core = text.rstrip(CLOSING)
+            lowered = core.lower() if core.isascii() else unicodedata.normalize("NFC", core).lower()
+            if lowered.isalnum():
+                parts.append(pieces.setdefault(lowered if core.isascii() else core, len(pieces)))
+                if len(core) < len(text):
+                    parts.append(pieces.setdefault(text[len(core) :], len(pieces)))
+                    counts.append(2)
+                    continue
+            else:
+                parts.append(pieces.setdefault(text, len(pieces)))
+            counts.append(1)
+        ids, lengths = self.encode_pieces(list(pieces))
+        at = np.array(parts, np.int64)
+        ends = np.cumsum(lengths)
+        flat = ids[spans(ends[at] - lengths[at], lengths[at])] if len(at) else ids
+        first = np.cumsum(counts) - counts
+        return flat, np.add.reduceat(lengths[at], first) if len(at) else lengths
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out: list = [None] * len(pieces)
+        plain = [i for i, w in enumerate(pieces) if MARK not in w and "<|" not in w and len(w) < 1000]
+        odd = sorted(set(range(len(pieces))).difference(plain))
+        for i, ids in zip(odd, self._ids([pieces[i] for i in odd]), strict=True):
             out[i] = np.array(ids, np.int32)
-        step = 512
+        step = 256
         groups = [plain[k : k + step] for k in range(0, len(plain), step)]
         for k in range(0, len(groups), 64):
             part = groups[k : k + 64]
-            texts = [f" {MARK} ".join(words[i].decode() for i in group) for group in part]
+            texts = [f" {MARK} ".join([pieces[i] for i in group]) for group in part]
             for group, ids in zip(part, self._ids(texts), strict=True):
                 flat = np.array(ids, np.int32)
                 cuts = np.flatnonzero(flat == self.mark[0])
