@@ -13,7 +13,7 @@ class EmptyDataFrameError(ValueError):
     """An input that must hold rows is empty."""
 
 
-# The defaults users of the course platform rely on.
+# Documented defaults.
 @dataclass(frozen=True)
 class Defaults:
     seed: int = 42

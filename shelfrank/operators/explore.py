@@ -59,13 +59,14 @@ def segment_category_pivot(
 ) -> DataFrame:
     """Interactions per user segment and item category.
 
-    The log is first counted per (user, item), so a hot user or item shrinks map-side.
+    Both dimensions are joined first; each task then sends one row per (segment, category).
     """
-    pairs = log.groupBy("user_idx", "item_idx").agg(F.count(F.lit(1)).alias("n"))
-    joined = pairs.join(items.select("item_idx", "category"), "item_idx").join(
-        users.select("user_idx", "segment"), "user_idx"
+    joined = (
+        log.select("user_idx", "item_idx")
+        .join(items.select("item_idx", "category"), "item_idx")
+        .join(users.select("user_idx", "segment"), "user_idx")
     )
-    return joined.groupBy("segment").pivot("category", categories).agg(F.sum("n")).fillna(0)
+    return joined.groupBy("segment").pivot("category", categories).agg(F.count(F.lit(1))).fillna(0)
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:

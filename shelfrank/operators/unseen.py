@@ -80,7 +80,7 @@ def _spread_lookup(picked: DataFrame, ranked: DataFrame, keys: list[str], by: li
     head = F.col("rank") <= _HEAD
     copies = F.when(head, F.sequence(F.lit(0), F.lit(_COPIES - 1))).otherwise(F.array(F.lit(0)))
     spread = ranked.withColumn("__copy", F.explode(copies))
-    chosen = F.when(head, F.pmod(F.xxhash64("user_idx"), F.lit(_COPIES))).otherwise(F.lit(0))
+    chosen = F.when(head, F.pmod(F.xxhash64(*keys), F.lit(_COPIES))).otherwise(F.lit(0))
     carried = [c for c in ranked.columns if c not in ("rank", *by)]
     return (
         picked.withColumn("__copy", chosen.cast("int"))

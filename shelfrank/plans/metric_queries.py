@@ -273,9 +273,9 @@ def _fitted_ucb(spark, d, last: int | None = None) -> UCB:
     return UCB().fit(log if last is None else log.where(F.col("iter_no") <= last))
 
 
-@query("ucb_scores", sql("SELECT item_idx, relevance FROM ucb", ucb_sql("iter_no = 0")))
+@query("ucb_scores", sql("SELECT item_idx, relevance FROM ucb", ucb_sql()))
 def ucb_scores(spark, d):
-    return _fitted_ucb(spark, d, 0).scores(views.items(spark, d)).select("item_idx", "relevance")
+    return _fitted_ucb(spark, d).scores(views.items(spark, d)).select("item_idx", "relevance")
 
 
 @query(

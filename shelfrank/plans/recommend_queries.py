@@ -515,13 +515,23 @@ def _rounded_compared(spark, d):
     return table.withColumn("value", F.when(money, F.round("value", 4)).otherwise(F.round("value", 6)))
 
 
+_MONEY = "metric IN ('revenue', 'discounted_revenue')"
+
+
 @query(
     "phase_metrics",
-    sql("SELECT name, phase, metric, round(avg(value), 5) AS mean_value, round(sum(value), 4) AS total_value FROM metrics GROUP BY ALL", *_STEPS),
+    sql(
+        f"""SELECT name, phase, metric, CASE WHEN {_MONEY} THEN round(avg(value), 4) ELSE round(avg(value), 6) END AS mean_value,
+        CASE WHEN {_MONEY} THEN round(sum(value), 4) ELSE round(sum(value), 6) END AS total_value FROM metrics GROUP BY name, phase, metric""",
+        *_STEPS,
+    ),
 )
 def phase_metrics(spark, d):
-    table = replay.phase_metrics(_rounded_compared(spark, d))
-    return table.withColumns({"mean_value": F.round("mean_value", 5), "total_value": F.round("total_value", 4)})
+    # As many digits as the values have: the mean of three such numbers never lies between two.
+    table, money = replay.phase_metrics(_rounded_compared(spark, d)), F.col("metric").isin("revenue", "discounted_revenue")
+    return table.withColumns(
+        {c: F.when(money, F.round(c, 4)).otherwise(F.round(c, 6)) for c in ("mean_value", "total_value")}
+    )
 
 
 _REVENUE = "SELECT name, phase, iter_no, value FROM metrics WHERE metric = 'revenue'"

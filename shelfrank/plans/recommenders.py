@@ -448,8 +448,10 @@ class WalkEmbedding(Recommender):
         window: int = DEFAULTS.window_size,
         epochs: int = DEFAULTS.epochs,
         seed: int = DEFAULTS.seed,
+        partitions: int = 8,
     ):
-        self.walk_length, self.walks_per_node = walk_length, walks_per_node
+        # The embedding depends on the number of training partitions, so it is not that of the cores.
+        self.walk_length, self.walks_per_node, self.partitions = walk_length, walks_per_node, partitions
         self.dim, self.window, self.epochs, self.seed = dim, window, epochs, seed
         self.user_vectors: DataFrame | None = None
         self.item_vectors: DataFrame | None = None
@@ -468,7 +470,7 @@ class WalkEmbedding(Recommender):
             maxIter=self.epochs,
             minCount=0,
             seed=self.seed,
-            numPartitions=log.sparkSession.sparkContext.defaultParallelism,
+            numPartitions=self.partitions,
             inputCol="walk",
             outputCol="unused",
         )
@@ -533,20 +535,30 @@ class Als(Recommender):
     def __init__(self, rank: int = 8, iterations: int = 3, seed: int = DEFAULTS.seed):
         self.rank, self.iterations, self.seed = rank, iterations, seed
         self.model = None
+        self.nodes: DataFrame | None = None
         self.popularity = Popularity()
 
+    def numbers(self, kind: str, name: str, number: str) -> DataFrame:
+        """Ids of one side next to the dense numbers that the factorisation takes."""
+        side = self.nodes.where(F.col("kind") == kind)
+        return side.select(F.col("id").alias(name), F.col("node").cast("int").alias(number))
+
     def fit(self, log, users=None, items=None):
         from pyspark.ml.recommendation import ALS
 
-        ratings = log.groupBy(
-            F.col("user_idx").cast("int").alias("user_idx"), F.col("item_idx").cast("int").alias("item_idx")
-        ).agg(F.sum("response").cast("float").alias("rating"))
+        self.nodes = cut_lineage(graph.graph_nodes(log))
+        sums = log.groupBy("user_idx", "item_idx").agg(F.sum("response").cast("float").alias("rating"))
+        ratings = (
+            sums.join(self.numbers("user", "user_idx", "user_no"), "user_idx")
+            .join(self.numbers("item", "item_idx", "item_no"), "item_idx")
+            .select("user_no", "item_no", "rating")
+        )
         self.model = ALS(
             rank=self.rank,
             maxIter=self.iterations,
             implicitPrefs=True,
-            userCol="user_idx",
-            itemCol="item_idx",
+            userCol="user_no",
+            itemCol="item_no",
             ratingCol="rating",
             seed=self.seed,
         ).fit(ratings.where(F.col("rating") > 0))
@@ -557,11 +569,17 @@ class Als(Recommender):
         if self.model is None:
             raise NotFittedError("fit before predict")
         vec = F.col("features").cast("array<double>").alias("vec")
-        asked = self.model.userFactors.select(F.col("id").cast("long").alias("user_idx"), vec).join(
-            users.select("user_idx"), "user_idx", "left_semi"
+        asked = (
+            self.model.userFactors.select(F.col("id").alias("user_no"), vec)
+            .join(self.numbers("user", "user_idx", "user_no"), "user_no")
+            .join(users.select("user_idx"), "user_idx", "left_semi")
+            .select("user_idx", "vec")
         )
-        catalogue = self.model.itemFactors.select(F.col("id").cast("long").alias("item_idx"), vec).join(
-            items.select("item_idx", "price"), "item_idx"
+        catalogue = (
+            self.model.itemFactors.select(F.col("id").alias("item_no"), vec)
+            .join(self.numbers("item", "item_idx", "item_no"), "item_no")
+            .join(items.select("item_idx", "price"), "item_idx")
+            .select("item_idx", "vec", "price")
         )
         best = block_top_k(asked, catalogue, log if filter_seen else None, k, "dot")
         best = best.join(items.select("item_idx", "price"), "item_idx").select(RECS)

@@ -164,8 +164,9 @@ def bernoulli_response(spark, d):
     return transformers.BernoulliResponse(inputCol="p", outputCol="response", seed=42).transform(rates).drop("p")
 
 
-_VECTORS = """vectors AS (SELECT item_idx, price, embedding::DOUBLE[] AS vec FROM items
-  JOIN embeddings ON vec_id = item_idx % (SELECT count(*) FROM embeddings))"""
+_VECTORS = """vector_count AS (SELECT count(*) AS n FROM embeddings),
+vectors AS MATERIALIZED (SELECT item_idx, price, embedding::DOUBLE[] AS vec
+  FROM (SELECT item_idx, price, item_idx % n AS vec_id FROM items, vector_count) JOIN embeddings USING (vec_id))"""
 
 
 def _vector_pairs(spark, d):
@@ -175,13 +176,14 @@ def _vector_pairs(spark, d):
     return vectors.join(following, "item_idx")
 
 
-_PAIR_SQL = "FROM vectors a JOIN vectors b ON b.item_idx = a.item_idx + 1"
+_PAIR_SQL = """FROM (SELECT item_idx, vec, lead(vec) OVER by_item AS next_vec, lead(item_idx) OVER by_item AS next_idx
+  FROM vectors WINDOW by_item AS (ORDER BY item_idx)) WHERE next_idx = item_idx + 1"""
 
 
 @query(
     "angular_similarity",
     sql(
-        f"""SELECT a.item_idx, round(1 - acos(greatest(-1, least(1, list_cosine_similarity(a.vec, b.vec)))) / pi(), 6)
+        f"""SELECT item_idx, round(1 - acos(greatest(-1, least(1, list_cosine_similarity(vec, next_vec)))) / pi(), 6)
         AS similarity {_PAIR_SQL}""",
         _VECTORS,
     ),
@@ -193,7 +195,7 @@ def angular_similarity(spark, d):
 
 @query(
     "cosine_similarity",
-    sql(f"SELECT a.item_idx, round(list_cosine_similarity(a.vec, b.vec), 6) AS similarity {_PAIR_SQL}", _VECTORS),
+    sql(f"SELECT item_idx, round(list_cosine_similarity(vec, next_vec), 6) AS similarity {_PAIR_SQL}", _VECTORS),
 )
 def cosine_similarity(spark, d):
     return _vector_pairs(spark, d).select(
@@ -207,6 +209,20 @@ def vector_element(spark, d):
     return step.transform(views.item_vectors(spark, d)).select("item_idx", "element")
 
 
+@query(
+    "interaction_duplicates",
+    sql(
+        """SELECT count(*)::BIGINT AS n_rows, count(DISTINCT row(user_idx, item_idx, response, ts, order_id, line_no, paid))::BIGINT
+        AS n_distinct FROM log0"""
+    ),
+)
+def interaction_duplicates(spark, d):
+    """Rows of the interactions, and how many are left without full-row repeats."""
+    log = views.interactions(spark, d)
+    per_row = log.groupBy(*log.columns).agg(F.count(F.lit(1)).alias("n"))
+    return per_row.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
+
+
 @query(
     "assemble_features",
     sql("SELECT item_idx, round(item_attr_0 + 2 * price, 4) AS weighted, 2::BIGINT AS size FROM items"),
@@ -361,8 +377,9 @@ def standardise_price(spark, d):
 @query(
     "l2_normalise",
     sql(
-        """SELECT item_idx, round(list_sum(list_transform(vec, lambda x: x * x)) , 6) AS sq_length,
-        round(vec[1] / sqrt(list_sum(list_transform(vec, lambda x: x * x))), 6) AS first FROM vectors""",
+        """SELECT item_idx, dim::INTEGER AS dim, round(vec[dim + 1] / size, 6) AS value FROM (
+        SELECT item_idx, vec, sqrt(list_sum(list_transform(vec, lambda x: x * x))) AS size, unnest(range(len(vec))) AS dim
+        FROM vectors)""",
         _VECTORS,
     ),
 )
@@ -370,9 +387,8 @@ def l2_normalise(spark, d):
     vectors = views.item_vectors(spark, d).withColumn("unit", scalars.l2_normalise("vec"))
     return vectors.select(
         "item_idx",
-        F.round(scalars.dot("vec", "vec"), 6).alias("sq_length"),
-        F.round(scalars.element("unit", 0), 6).alias("first"),
-    )
+        F.posexplode("unit").alias("dim", "value"),
+    ).select("item_idx", "dim", F.round("value", 6).alias("value"))
 
 
 @query(

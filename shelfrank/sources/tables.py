@@ -43,19 +43,17 @@ class IterationLog:
     def append(self, df: DataFrame) -> None:
         """Add rows; their ``iter`` column names the partition.
 
-        Rows are gathered by label first, so a write makes few files per partition. A
-        label that holds much more than others is spread over several tasks.
+        Rows are gathered by label first, so a write makes few files per partition; what a
+        label holds beyond one file's size is split over tasks by size.
         """
         check_conforms(df, self.schema)
-        spread = F.pmod(F.xxhash64("user_idx"), F.lit(8))
-        df.repartition("iter", spread).write.mode("append").partitionBy("iter").parquet(self.folder)
+        df.hint("rebalance", "iter").write.mode("append").partitionBy("iter").parquet(self.folder)
 
     def replace(self, df: DataFrame) -> None:
         """Overwrite only the partitions present in ``df``; safe to repeat after a failure."""
         check_conforms(df, self.schema)
-        spread = F.pmod(F.xxhash64("user_idx"), F.lit(8))
         (
-            df.repartition("iter", spread)
+            df.hint("rebalance", "iter")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("iter")
@@ -68,7 +66,7 @@ class IterationLog:
 
     def read(self, labels: list[str] | None = None) -> DataFrame:
         df = self.spark.read.schema(self.schema).parquet(self.folder)
-        return df.where(F.col("iter").isin(labels)) if labels else df
+        return df.where(F.col("iter").isin(labels)) if labels is not None else df
 
     def for_users(self, users: DataFrame) -> DataFrame:
         return self.read().join(users.select("user_idx"), "user_idx", "left_semi")
