@@ -110,7 +110,7 @@ def _marked(located: DataFrame, id_col: str, text_col: str, digest_bits: int = 2
                 F.array(F.pmod(F.xxhash64("keep"), salts).cast("int"))
             )
         ).alias("salt"),
-    )
+    ).repartition("digest", "salt")
     group = Window.partitionBy("digest", "salt").orderBy(F.col("stays").desc())
     compared = salted.withColumn("same", F.first("norm").over(group) == F.col("norm"))
     odd = written(compared.where(~F.col("same")).select("digest", "norm", "keep"), "odd")
