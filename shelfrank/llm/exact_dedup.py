@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import one_space, table, written
+from shelfrank.llm.common import listed, one_space, table, written
 from shelfrank.llm.registry import query
 from shelfrank.session import new_folder
 
@@ -100,7 +100,9 @@ def _marked(located: DataFrame, id_col: str, text_col: str, digest_bits: int = 2
 
     # Full bytes of the hits, against the text that stays.
     hits = state.where("copies > 1").select("digest", F.col("keep").alias("first"), "copies")
-    texts = located.select(digest.alias("digest"), norm.alias("norm"), keep.alias("keep")).join(hits, "digest")
+    texts = located.select(digest.alias("digest"), norm.alias("norm"), keep.alias("keep"))
+    # Only texts of hits move, where the list of hit digests is short enough to be sent out.
+    texts = texts.join(listed(hits.select("digest")), "digest", "left_semi").join(hits, "digest")
     salts = F.ceil(F.col("copies") / GROUP_ROWS).cast("int")
     stays = F.col("keep") == F.col("first")
     salted = texts.select(
