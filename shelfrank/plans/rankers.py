@@ -1,14 +1,22 @@
 """MLlib classifiers as rankers.
 
-Users with the same model features get the same scores, so a model scores every
-(user class, item) once instead of every (user, item). Each class then has one ranked
-catalogue, and each user takes the first unseen items of it.
+All feature columns found by prefix enter the models with their own values. Linear models
+are additive: the probability rises with ``a + b``, one number per user and one per item, and the
+relevance is a rising positive function of it times a factor of the item. An item that enough
+others beat in both numbers can be on nobody's list, so only a short list of items is scored per user. A
+tree sees a user only through its own thresholds: users between the same thresholds share one ranked catalogue.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+import re
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -17,116 +25,181 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.config import DEFAULTS, NotFittedError
-from shelfrank.functions.scalars import price_response_relevance
+from shelfrank.functions.scalars import feature_columns, price_response_relevance
+from shelfrank.operators.blocks import block_top_k
 from shelfrank.operators.ordinal import rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
 from shelfrank.session import cut_lineage
 
-ATTRIBUTE_CLASSES = 10
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ITEMS_PER_BLOCK = 16_384
+USER_PREFIX, ITEM_PREFIX = "user_attr_", "item_attr_"
 
 
 def training_table(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Log rows with the features of both sides, projected before the joins."""
+    """Log rows with all features of both sides, projected before the joins."""
+    own, theirs = feature_columns(users, USER_PREFIX), feature_columns(items, ITEM_PREFIX)
     return (
         log.select("user_idx", "item_idx", "response")
-        .join(items.select("item_idx", "category", "item_attr_0", "price"), "item_idx")
-        .join(users.select("user_idx", "segment", "user_attr_0"), "user_idx")
+        .join(items.select("item_idx", "category", *theirs, "price"), "item_idx")
+        .join(users.select("user_idx", "segment", *own), "user_idx")
     )
 
 
-class ClassRanker(Recommender):
-    """Base: fit a pipeline on the log, rank each user class's catalogue."""
+def feature_stages(own: list[str], theirs: list[str]) -> list:
+    """One-hot segment and category, raw attributes of user and item, standardised price."""
+    return [
+        StringIndexer(
+            inputCols=["segment", "category"],
+            outputCols=["segment_no", "category_no"],
+            handleInvalid="keep",
+            stringOrderType="alphabetAsc",
+        ),
+        OneHotEncoder(
+            inputCols=["segment_no", "category_no"], outputCols=["segment_hot", "category_hot"], dropLast=False
+        ),
+        VectorAssembler(inputCols=["price"], outputCol="price_vec"),
+        StandardScaler(inputCol="price_vec", outputCol="price_std", withMean=True),
+        VectorAssembler(
+            inputCols=["segment_hot", "category_hot", *own, *theirs, "price_std"], outputCol="features"
+        ),
+    ]
+
+
+def _undominated(k: int):
+    """Rows of ``item_idx, b, g`` that fewer than ``k`` others of the same frames precede for every user.
+
+    Of two items with a factor ``g`` of 0 or more, the one with larger ``g`` (or equal and the smaller id) and no
+    smaller ``b`` comes first whatever the user; with negative factors the one with no larger ``b``.
+    """
+
+    def keep(frames):
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        table = pd.concat(held).sort_values(["g", "item_idx"], ascending=[False, True])
+        positive = int((table["g"] >= 0).sum())
+        chosen = []
+        for part, sign, room in ((table[:positive], 1.0, k), (table[positive:], -1.0, k - positive)):
+            heap: list[float] = []
+            for at, b in enumerate((sign * part["b"]).tolist()):
+                if room <= 0 or len(heap) >= room and b <= heap[0]:
+                    continue
+                chosen.append(part.index[at])
+                (heapq.heappush if len(heap) < room else heapq.heappushpop)(heap, b)
+        yield table.loc[chosen]
+
+    def run(frames):
+        yield from keep(f.set_index(np.arange(n << 40, (n << 40) + len(f))) for n, f in enumerate(frames))
+
+    return run
+
+
+def additive_top_k(
+    users: DataFrame, items: DataFrame, seen: DataFrame | None, k: int, kind: str = "sigmoid_dot_price"
+) -> DataFrame:
+    """Best unseen items by a rising function of ``a + b`` times ``g``: ``user_idx, item_idx, relevance, rank``.
+
+    ``users`` has ``user_idx, a``; ``items`` has ``item_idx, b, g``. Nobody can have seen more items than the
+    longest history, so an item that as many others plus ``k`` precede for everyone is left out first.
+    """
+    history = 0
+    if seen is not None:
+        pairs = seen.select("user_idx", "item_idx").distinct()
+        per_user = pairs.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
+        history = per_user.agg(F.max("n")).first()[0] or 0
+    keep, schema = _undominated(k + history), "item_idx long, b double, g double"
+    near = items.select(F.col("item_idx").cast("long"), F.col("b").cast("double"), F.col("g").cast("double"))
+    # Each task leaves few items; the last one sees only those.
+    short = cut_lineage(near.mapInPandas(keep, schema).repartition(1).mapInPandas(keep, schema))
+    left = users.select("user_idx", F.array(F.col("a").cast("double"), F.lit(1.0)).alias("vec"))
+    right = short.select("item_idx", F.array(F.lit(1.0), "b").alias("vec"), F.col("g").alias("price"))
+    return block_top_k(left, right, seen, k, kind)
+
+
+class ScoreRanker(Recommender):
+    """Base: fit a pipeline of features and a classifier on the log."""
 
     def __init__(self, seed: int = DEFAULTS.seed):
         self.seed = seed
         self.model: PipelineModel | None = None
-        self.cuts: list[float] | None = None
+        self.own: list[str] = []
+        self.theirs: list[str] = []
 
     def estimators(self, rows: int) -> list:
         raise NotImplementedError
 
-    def score(self, probability: Column, price: Column) -> Column:
-        return probability * price
-
-    def probability(self) -> Column:
-        return vector_to_array("probability")[1]
-
-    def with_class(self, users: DataFrame) -> DataFrame:
-        """The user attribute enters the model as the number of its decile."""
-        level = F.lit(0.0)
-        for cut in self.cuts or []:
-            level = level + F.when(F.col("user_attr_0") > cut, 1.0).otherwise(0.0)
-        return users.withColumn("attr_class", level)
-
     def fit(self, log, users=None, items=None):
-        shares = [i / ATTRIBUTE_CLASSES for i in range(1, ATTRIBUTE_CLASSES)]
-        self.cuts = users.approxQuantile("user_attr_0", shares, 0.01)
-        table = self.with_class(training_table(log, users, items)).withColumn(
-            "label", F.col("response").cast("double")
-        )
-        stages = [
-            StringIndexer(
-                inputCols=["segment", "category"],
-                outputCols=["segment_no", "category_no"],
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(
-                inputCols=["segment_no", "category_no"], outputCols=["segment_hot", "category_hot"], dropLast=False
-            ),
-            VectorAssembler(inputCols=["price"], outputCol="price_vec"),
-            StandardScaler(inputCol="price_vec", outputCol="price_std", withMean=True),
-            VectorAssembler(
-                inputCols=["segment_hot", "category_hot", "attr_class", "item_attr_0", "price_std"],
-                outputCol="features",
-            ),
-        ]
+        self.own, self.theirs = feature_columns(users, USER_PREFIX), feature_columns(items, ITEM_PREFIX)
+        table = training_table(log, users, items).withColumn("label", F.col("response").cast("double"))
         table = table.persist()
         try:
-            self.model = Pipeline(stages=stages + self.estimators(table.count())).fit(table)
+            stages = feature_stages(self.own, self.theirs) + self.estimators(table.count())
+            self.model = Pipeline(stages=stages).fit(table)
         finally:
             table.unpersist()
         return self
 
-    def ranked(self, users: DataFrame, items: DataFrame) -> DataFrame:
-        """Every (class, item) scored once and ranked within its class.
-
-        There are at most segments times deciles classes, met with the items block by block.
-        """
+    def fitted(self) -> PipelineModel:
         if self.model is None:
             raise NotFittedError("fit before predict")
-        classes = self.with_class(users).select("segment", "attr_class").distinct()
-        n_items = items.count()
-        blocks = max(64, n_items // ITEMS_PER_BLOCK)
-        block = F.pmod(F.xxhash64("item_idx"), F.lit(blocks)).cast("int")
-        spread = classes.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        pairs = items.select("item_idx", "category", "item_attr_0", "price", block.alias("__block")).join(
-            spread, "__block"
-        )
-        scored = self.model.transform(pairs).select(
-            "segment",
-            "attr_class",
-            "item_idx",
-            "price",
-            F.round(self.probability(), 9).alias("probability"),
+        return self.model
+
+
+class AdditiveRanker(ScoreRanker):
+    """A linear model: one number per user and one per item."""
+
+    kind = "sigmoid_dot_price"
+
+    def linear(self) -> tuple[np.ndarray, float]:
+        """Weights and intercept of the logit."""
+        raise NotImplementedError
+
+    def factor(self) -> Column:
+        return F.col("price")
+
+    def sides(self, users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``user_idx, a`` and ``item_idx, b, g, price``."""
+        weights, intercept = self.linear()
+        segments, categories = self.fitted().stages[0].labelsArray
+        scaler = self.fitted().stages[3]
+        at = 0
+
+        def part(n: int) -> list[float]:
+            nonlocal at
+            at += n
+            return [float(w) for w in weights[at - n : at]]
+
+        def chosen(column: str, labels: list[str], values: list[float]) -> Column:
+            """The label's weight; the last one stands for missing and unknown labels."""
+            known = F.lit(values[-1])
+            for label, value in zip(labels, values, strict=False):
+                known = F.when(F.col(column) == label, value).otherwise(known)
+            return known
+
+        a = chosen("segment", segments, part(len(segments) + 1))
+        b = chosen("category", categories, part(len(categories) + 1))
+        for name, weight in zip(self.own, part(len(self.own)), strict=True):
+            a = a + F.col(name) * weight
+        for name, weight in zip(self.theirs, part(len(self.theirs)), strict=True):
+            b = b + F.col(name) * weight
+        (price,) = part(1)
+        mean, spread = float(scaler.mean[0]), float(scaler.std[0]) or 1.0
+        b = b + (F.col("price") - mean) * (price / spread) + intercept
+        return users.select("user_idx", a.alias("a")), items.select(
+            "item_idx", b.alias("b"), self.factor().alias("g"), "price"
         )
-        scored = scored.withColumn("relevance", F.round(self.score(F.col("probability"), F.col("price")), 6))
-        return rank_by_score(scored, ["segment", "attr_class"], "relevance", at_most=n_items)
 
     def predict(self, log, k, users, items, filter_seen=True):
-        by = ["segment", "attr_class"]
-        asked = self.with_class(users).select("user_idx", *by)
-        # Read twice below: to place what was seen and to look the picks up.
-        ranked = cut_lineage(self.ranked(users, items))
-        picks = unseen_at(
-            asked, ranked, log if filter_seen else None, k, by=by, catalogue=items.count()
-        )
-        return picks.withColumnRenamed("nth", "rank").select(RECS + ["probability"])
+        left, right = self.sides(users, items)
+        best = additive_top_k(left, right, log if filter_seen else None, k, self.kind)
+        probability = F.round(1 / (1 + F.exp(-(F.col("a") + F.col("b")))), 9).alias("probability")
+        return best.join(left, "user_idx").join(right, "item_idx").select(*RECS, probability)
 
 
-class LogisticRanker(ClassRanker):
+class LogisticRanker(AdditiveRanker):
     """L2 logistic regression. A penalty of C on the summed loss is 1 / (C n) on the mean."""
 
     def __init__(self, c: float = 1.0, max_iter: int = 100, seed: int = DEFAULTS.seed):
@@ -138,23 +211,16 @@ class LogisticRanker(ClassRanker):
             LogisticRegression(regParam=1.0 / (self.c * max(rows, 1)), standardization=False, maxIter=self.max_iter)
         ]
 
+    def linear(self):
+        model = self.fitted().stages[-1]
+        return model.coefficients.toArray(), float(model.intercept)
 
-class TreeRanker(ClassRanker):
-    """Decision tree. MLlib has no cost-complexity pruning."""
-
-    def __init__(self, max_depth: int = 5, min_leaf: int = 1, seed: int = DEFAULTS.seed):
-        super().__init__(seed)
-        self.max_depth, self.min_leaf = max_depth, min_leaf
 
-    def estimators(self, rows: int) -> list:
-        return [
-            DecisionTreeClassifier(maxDepth=self.max_depth, minInstancesPerNode=self.min_leaf, seed=self.seed)
-        ]
-
-
-class SvmRanker(ClassRanker):
+class SvmRanker(AdditiveRanker):
     """Linear SVM whose margin a logistic regression turns into a probability."""
 
+    kind = "response_dot_price"
+
     def __init__(self, max_iter: int = 20, seed: int = DEFAULTS.seed):
         super().__init__(seed)
         self.max_iter = max_iter
@@ -173,5 +239,68 @@ class SvmRanker(ClassRanker):
             ),
         ]
 
-    def score(self, probability: Column, price: Column) -> Column:
-        return price_response_relevance(probability, price)
+    def linear(self):
+        svm, _, calibration = self.fitted().stages[-3:]
+        low, high = calibration.coefficients.toArray()
+        slope = high - low
+        return svm.coefficients.toArray() * slope, float(svm.intercept * slope + calibration.intercept)
+
+    def factor(self):
+        return F.log1p("price") * F.cos(F.col("price") / 100)
+
+
+class TreeRanker(ScoreRanker):
+    """Decision tree. MLlib has no cost-complexity pruning.
+
+    Users in the same segment and between the same thresholds of the tree get the same scores:
+    each such class has one ranked catalogue, and each user takes the first unseen items of it.
+    """
+
+    def __init__(self, max_depth: int = 5, min_leaf: int = 1, seed: int = DEFAULTS.seed):
+        super().__init__(seed)
+        self.max_depth, self.min_leaf = max_depth, min_leaf
+
+    def estimators(self, rows: int) -> list:
+        return [DecisionTreeClassifier(maxDepth=self.max_depth, minInstancesPerNode=self.min_leaf, seed=self.seed)]
+
+    def thresholds(self) -> list[list[float]]:
+        """Per user attribute, the values at which the tree splits it."""
+        segments, categories = self.fitted().stages[0].labelsArray
+        first = len(segments) + len(categories) + 2
+        text = self.fitted().stages[-1].toDebugString
+        found: list[set[float]] = [set() for _ in self.own]
+        for number, value in re.findall(r"feature (\d+) <= (-?[0-9.]+(?:E-?\d+)?)", text):
+            if 0 <= int(number) - first < len(self.own):
+                found[int(number) - first].add(float(value))
+        return [sorted(values) for values in found]
+
+    def with_class(self, users: DataFrame) -> DataFrame:
+        """Attributes replaced by one value between the same thresholds: the upper one, or above all."""
+        for name, cuts in zip(self.own, self.thresholds(), strict=True):
+            value = F.lit((cuts[-1] + 1.0 + abs(cuts[-1])) if cuts else 0.0)
+            for cut in reversed(cuts):
+                value = F.when(F.col(name) <= cut, cut).otherwise(value)
+            users = users.withColumn(name, value)
+        return users
+
+    def predict(self, log, k, users, items, filter_seen=True):
+        by = ["segment", *self.own]
+        asked = self.with_class(users).select("user_idx", *by)
+        classes = asked.select(*by).distinct()
+        n_items = items.count()
+        blocks = max(64, n_items // ITEMS_PER_BLOCK)
+        block = F.pmod(F.xxhash64("item_idx"), F.lit(blocks)).cast("int")
+        spread = classes.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        pairs = items.select("item_idx", "category", *self.theirs, "price", block.alias("__block")).join(spread, "__block")
+        probability = F.round(vector_to_array("probability")[1], 9)
+        scored = self.fitted().transform(pairs).select(*by, "item_idx", "price", probability.alias("probability"))
+        scored = scored.withColumn("relevance", F.round(F.col("probability") * F.col("price"), 6))
+        # Read twice below: to place what was seen and to look the picks up.
+        ranked = cut_lineage(rank_by_score(scored, by, "relevance", at_most=n_items))
+        picks = unseen_at(asked, ranked, log if filter_seen else None, k, by=by, catalogue=n_items)
+        return picks.withColumnRenamed("nth", "rank").select(RECS + ["probability"])
+
+
+def exact_relevance(ranker: ScoreRanker, probability: Column, price: Column) -> Column:
+    """The relevance a ranker orders by, from the model's own probability."""
+    return price_response_relevance(probability, price) if isinstance(ranker, SvmRanker) else probability * price

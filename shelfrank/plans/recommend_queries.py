@@ -13,7 +13,7 @@ from shelfrank.operators.distances import synthetic_quality as quality_report
 from shelfrank.operators.weighted import weighted_choice
 from shelfrank.plans import replay
 from shelfrank.plans.metric_queries import NGRAM, SESSION, SESSION_PAIRS, _rounded, _top_sql, ucb_sql
-from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker
+from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker, additive_top_k
 from shelfrank.plans.recommenders import (
     UCB,
     Als,
@@ -197,6 +197,28 @@ def rec_logistic(spark, d):
     return _shown(_recommend(spark, d, LogisticRanker()))
 
 
+_FIXED_A = "user_attr_0 / 20000 - nation * 0.02"
+_FIXED_B = "item_attr_0 * 0.03 - price / 2000"
+
+
+@query(
+    "rec_linear_fixed",
+    sql(
+        """SELECT user_idx, item_idx, round(relevance, 6) AS relevance, price, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank FROM scored) WHERE rank <= 5""",
+        f"""scored AS (SELECT user_idx, item_idx, price, round(price / (1 + exp(-(({_FIXED_A}) + ({_FIXED_B})))), 9) AS relevance
+        FROM users CROSS JOIN items ANTI JOIN log USING (user_idx, item_idx))""",
+    ),
+)
+def rec_linear_fixed(spark, d):
+    """The ranking of linear models, with given weights."""
+    items = views.items(spark, d)
+    left = views.users(spark, d).select("user_idx", F.expr(_FIXED_A).alias("a"))
+    right = items.select("item_idx", F.expr(_FIXED_B).alias("b"), F.col("price").alias("g"))
+    best = additive_top_k(left, right, views.interactions(spark, d), K)
+    return _shown(best.join(items.select("item_idx", "price"), "item_idx"))
+
+
 @query("rec_tree")
 def rec_tree(spark, d):
     return _shown(_recommend(spark, d, TreeRanker()))
