@@ -21,6 +21,7 @@ from shelfrank.operators.sampling import item_slots
 from shelfrank.operators.sequences import last_n
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.session import cut_lineage
+from shelfrank.sources.schema import check_binary_labels
 
 RECS = ["user_idx", "item_idx", "relevance", "price", "rank"]
 
@@ -178,6 +179,7 @@ class UCB(Recommender):
         self.fill: Column | None = None
 
     def fit(self, log, users=None, items=None):
+        check_binary_labels(log)
         rows = _row_count(log)
         bonus = F.log(F.lit(self.coef) * rows)
         stats = log.groupBy("item_idx").agg(F.sum("relevance").alias("pos"), F.count(F.lit(1)).alias("total"))
