@@ -84,8 +84,9 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
     """Counts in equal-width bins over the column's whole range (last bin right-closed)."""
-    lo = df.agg(F.min(column).cast("double")).scalar()
-    hi = df.agg(F.max(column).cast("double")).scalar()
+    # Both ends from one scan.
+    ends = df.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias("ends")).scalar()
+    lo, hi = ends.getField("lo"), ends.getField("hi")
     ranged = df.select(*([by] if by else []), F.col(column).alias("x"), lo.alias("lo"), hi.alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     bin_no = F.least(F.lit(bins - 1).cast("long"), F.floor((F.col("x") - F.col("lo")) / width))

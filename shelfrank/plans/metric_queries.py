@@ -325,6 +325,31 @@ def ngram_counts(spark, d):
     return model.counts.join(model.totals, "ctx")
 
 
+def _order_sql(order: int) -> str:
+    """Counts of one n-gram order; contexts are item ids with commas between them."""
+    back = [f"lag(item_idx, {i}) OVER w" for i in range(order - 1, 0, -1)]
+    ctx = " || ',' || ".join(f"({b})::VARCHAR" for b in back) or "''"
+    return f"""{recent_sql(50, "response > 0", "bought")},
+grams AS (SELECT {ctx} AS ctx, item_idx AS next_item FROM bought WINDOW w AS (PARTITION BY user_idx ORDER BY pos)),
+counts AS (SELECT ctx, next_item, count(*) AS cnt FROM grams WHERE ctx IS NOT NULL GROUP BY ALL),
+totals AS (SELECT ctx, sum(cnt) AS ctx_total FROM counts GROUP BY 1)"""
+
+
+_COUNTS = "SELECT ctx, next_item, cnt, ctx_total::BIGINT AS ctx_total FROM counts JOIN totals USING (ctx)"
+
+
+@query("ngram_counts_order_1", sql(_COUNTS, _order_sql(1)))
+def ngram_counts_order_1(spark, d):
+    model = ngram.fit(views.interactions(spark, d), 1)
+    return model.counts.join(model.totals, "ctx")
+
+
+@query("ngram_counts_order_3", sql(_COUNTS, _order_sql(3)))
+def ngram_counts_order_3(spark, d):
+    model = ngram.fit(views.interactions(spark, d), 3)
+    return model.counts.join(model.totals, "ctx")
+
+
 @query(
     "ngram_probability",
     sql(
