@@ -6,9 +6,9 @@ flips one bit: the number of ones in the XOR of two sketches tells a high simila
 pairs that are clearly too different go before any set is fetched. What is left is confirmed on
 the full sets, and linked sets form components.
 
-Nothing lists all pairs of a bucket. Equal sets are one node. Each node is first compared with its
-most similar bucket hub, then with its other hubs, and last, where a bucket still holds several components,
-the nodes outside its largest component are compared with the rest, sketch first, inside the join.
+Nothing lists all pairs of a bucket. Equal sets are one node. Each node is compared with the hubs of
+its buckets, and where a bucket still holds several components, the nodes outside its largest
+component are compared with the rest, sketch first, inside the join.
 """
 
 from __future__ import annotations
@@ -156,6 +156,17 @@ def _sets(words: int):
     return run
 
 
+def _arrays(words: int):
+    """As ``_sets``, the sets as arrays that SQL functions read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _sets(words)(batches):
+            rows = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("values")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "items"])
+
+    return run
+
+
 def _confirm(percent: int):
     """Keep pairs with 100 * intersection >= percent * union on the full sets."""
 
@@ -185,7 +196,7 @@ class NearDuplicates:
     """Links between the shingle sets of a table of texts."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
-        self.percent, self.words, self.sets = percent, words, None
+        self.percent, self.words = percent, words
         self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = self.texts.schema["id"].dataType.simpleString()
         self.prints = written(
@@ -209,26 +220,18 @@ class NearDuplicates:
         shared = written(keyed.join(hubs.select("bucket", "hub"), "bucket"), "shared")
         edges = shared.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         edges = written(self.close_pairs(edges), "candidates")
-        self.add_sets(edges)
-        best = edges.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
-        links = written(self.confirmed(best), "links")
-        roots = written(components(links), "roots")
-        more = written(self.confirmed(self.apart(edges.select("a", "b"), roots)), "links")
-        links = links.unionByName(more)
+        nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        self.sets = self.built(written(nodes, "wanted"), _sets(self.words), "node binary, values binary")
+        links = written(self.confirmed(edges), "links")
         roots = written(components(links), "roots")
-        rest = written(self.rest(shared, roots), "rest")
-        self.add_sets(rest)
-        more = written(self.confirmed(rest), "links")
-        return components(links.unionByName(more))
+        return components(links.unionByName(written(self.rest(shared, roots), "links")))
 
     def close_pairs(self, edges: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` whose sketches differ in few enough bits, with their number."""
+        """Pairs ``a, b`` whose sketches differ in few enough bits."""
         one = self.nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
         two = self.nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
         both = edges.join(one, "a").join(two, "b")
-        return both.where(self.close(F.col("sa"), F.col("sb"))).select(
-            "a", "b", differing_bits(F.col("sa"), F.col("sb")).alias("bits")
-        )
+        return both.where(self.close(F.col("sa"), F.col("sb"))).select("a", "b")
 
     @staticmethod
     def labelled(df: DataFrame, roots: DataFrame, name: str, out: str) -> DataFrame:
@@ -236,13 +239,9 @@ class NearDuplicates:
         own = roots.select(F.col("node").alias(name), F.col("root").alias("__root"))
         return df.join(own, name, "left").withColumn(out, F.coalesce("__root", name)).drop("__root")
 
-    def apart(self, edges: DataFrame, roots: DataFrame) -> DataFrame:
-        """Edges between different components."""
-        both = self.labelled(self.labelled(edges, roots, "a", "ra"), roots, "b", "rb")
-        return both.where("ra != rb").select("a", "b")
-
     def rest(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of one bucket and different components whose sizes and sketches are close.
+        """Links between nodes of one bucket and different components: sizes and sketches are close, and the
+        full sets similar enough. All of this is a condition of the join, which gives links only.
 
         Sets this similar differ in size by at most the threshold: their size classes, in steps
         of it, are equal or neighbours.
@@ -255,27 +254,33 @@ class NearDuplicates:
             .where("roots > 1").select("bucket", "largest")
         )
         size = F.floor(F.log("n_shingles") / math.log(100 / self.percent)).cast("int").alias("size")
-        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", size, "sketch"), "node")
+        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", "n_shingles", size, "sketch"), "node")
         held = written(held, "mixed")
         around = F.explode(F.array([F.col("size") + d for d in (-1, 0, 1)])).alias("size")
-        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", around).alias("x")
+        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", "n_shingles", around)
         close = self.close(F.col("x.sketch"), F.col("y.sketch"))
         # Both outside the largest component: each pair once.
         once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
         same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.size") == F.col("y.size"))
         on = same & (F.col("x.root") != F.col("y.root")) & once & close
-        return minor.join(held.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-    def add_sets(self, pairs: DataFrame) -> None:
-        """Build the sets of the pairs' nodes from their texts, unless they are there already."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
-        wanted = written(self.nodes.select("node", "id").join(wanted, "node", "left_semi"), "wanted")
+        # Which rows have a partner at all; semi-joins list no pairs.
+        some = written(minor.alias("x").join(held.alias("y"), on, "left_semi"), "some")
+        others = written(held.alias("y").join(some.alias("x"), on, "left_semi"), "others")
+        wanted = written(some.select("node").union(others.select("node")).distinct(), "wanted")
+        sets = self.built(wanted, _arrays(self.words), "node binary, items array<long>")
+        shared_items = F.size(F.array_intersect("x.items", "y.items"))
+        union = F.col("x.n_shingles") + F.col("y.n_shingles") - shared_items
+        exact = 100 * shared_items >= self.percent * union
+        left, right = some.join(sets, "node").alias("x"), others.join(sets, "node").alias("y")
+        return left.join(right, on & exact).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    def built(self, wanted: DataFrame, build, schema: str) -> DataFrame:
+        """The sets of the nodes ``wanted``, from the text of one row of each."""
+        wanted = written(self.nodes.select("node", "id").join(listed(wanted), "node", "left_semi"), "wanted")
         ids = listed(wanted.select("id").distinct())
-        found = self.texts.join(ids, self.texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text").mapInArrow(_sets(self.words), "node binary, values binary")
-        found = written(found.join(listed(wanted.select("node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
-        self.sets = found if self.sets is None else self.sets.unionByName(found)
+        found = self.texts.join(ids, self.texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
+        sets = found.mapInArrow(build, schema)
+        return written(sets.join(listed(wanted.select("node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs similar enough on their full sets."""
