@@ -1,7 +1,7 @@
 """Mixing sources to target weights: capped water-filling, then seeded repetitions.
 
 Everything is DataFrame work: sums per source, running sums over one row per source, and running
-sums of hash buckets. Only the bucket in which a source's quota ends is looked at row by row.
+sums of hash buckets, again for what is missing. Only the bucket in which a source's quota ends is looked at row by row.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import table, word_count, written
+from shelfrank.llm.common import listed, table, word_count, written
 from shelfrank.llm.registry import query
 
 # Fixed weights of the contract, repeating along the sorted sources.
@@ -56,6 +56,36 @@ def _draw(id_col: str, text_col: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
+def _named(sources: DataFrame) -> DataFrame:
+    return sources.withColumnRenamed("source", "__of")
+
+
+def _of_source() -> Column:
+    return F.col("source").eqNullSafe(F.col("__of"))
+
+
+def _drawn(docs: DataFrame, quota: str) -> DataFrame:
+    """Add ``__once``: the first documents of each source in the order of the draw up to the quota.
+
+    Documents larger than the quota are passed over; the first one that does not fit ends the draw. Buckets before the
+    one in which the quota ends are taken whole.
+    """
+    fits = (F.col("size") > 0) & (F.col("size") <= F.col(quota))
+    cells = docs.where(fits).groupBy("source", "__bucket").agg(F.sum("size").alias("__cell"), F.first(quota).alias("__limit"))
+    running = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    spread = cells.withColumn("__before", F.coalesce(F.sum("__cell").over(running), F.lit(0))).where("__before <= __limit")
+    spread = written(
+        spread.select(F.col("source").alias("__of"), F.col("__bucket").alias("__in"), "__before", "__cell"), "spread"
+    )
+    placed = docs.join(spread, _of_source() & (F.col("__bucket") == F.col("__in")), "left")
+    upto = F.col("__before") + F.col("__cell")
+    ends = F.coalesce(fits & (upto > F.col(quota)), F.lit(False))
+    sure = placed.where(~ends).withColumn("__once", F.coalesce(fits & (upto <= F.col(quota)), F.lit(False)))
+    inside = Window.partitionBy("source", "__bucket").orderBy("__draw", "__id", "__row").rowsBetween(Window.unboundedPreceding, 0)
+    edge = placed.where(ends).withColumn("__once", F.col("__before") + F.sum("size").over(inside) <= F.col(quota))
+    return sure.unionByName(edge).drop("__of", "__in", "__before", "__cell")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -70,9 +100,9 @@ def mix(
     """How often the mix repeats every document: ``id, size, source_size, target, repeats, taken``.
 
     A source with target ``e`` times its size repeats each document ``floor(e)`` times, and once more
-    those that come first in a seeded hash order, as long as they fit into what is missing; then
-    the largest document not yet taken that still fits fills the rest. A source thus misses its target by less than the
-    smallest document left out. Null and empty texts have size 0 and count as taken whole
+    those that come first in a seeded hash order, as long as they fit into what is missing; documents larger than
+    that are passed over, and the draw goes on for the rest until no document left out fits. A source thus
+    misses its target by less than the smallest document left out. Null and empty texts have size 0 and count as taken whole
     times only; null sources form a source of their own. Repeated rows are separate documents. An empty
     table gives no rows. ``extra`` columns are carried along.
     """
@@ -83,49 +113,37 @@ def mix(
     )
     sized = sized.withColumn("__bucket", F.pmod(F.shiftrightunsigned("__draw", 20), F.lit(buckets)).cast("int"))
     sized = written(sized, "sized")
-    cells = sized.groupBy("source", "__bucket").agg(F.sum("size").alias("__cell"))
-    cells = written(cells, "cells")
-    totals = cells.groupBy("source").agg(F.sum("__cell").alias("source_size"))
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = water_fill(cycling_weights(totals, weights), max_epochs)
     size = F.col("source_size")
     whole = F.when(size > 0, F.least(F.floor(F.col("target") / size), F.lit(max_epochs))).otherwise(0).cast("long")
     plan = plan.withColumn("__whole", whole).withColumn(
         "__quota", F.floor(F.col("target") - F.col("__whole") * size).cast("long")
     )
-    plan = plan.select("source", "source_size", "target", "__whole", "__quota")
-    running = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("__cell").over(running), F.lit(0))
-    same = F.col("c.source").eqNullSafe(F.col("p.source"))
-    spread = (
-        cells.withColumn("__before", before).alias("c").join(plan.alias("p"), same)
-        .select("c.source", "__bucket", "__before", "__cell", "source_size", "target", "__whole", "__quota")
-    )
-    spread = written(spread, "spread")
-    # The bucket in which a source's quota ends; all buckets before it are taken whole.
-    ends = (F.col("__before") <= F.col("__quota")) & (F.col("__before") + F.col("__cell") > F.col("__quota"))
-    at = F.col("s.source").eqNullSafe(F.col("c.source")) & (F.col("s.__bucket") == F.col("c.__bucket"))
-    placed = sized.alias("s").join(spread.alias("c"), at).select(
-        "s.*", "__before", "__cell", "source_size", "target", "__whole", "__quota", ends.alias("__ends")
-    )
-    fits = F.col("__before") + F.col("__cell") <= F.col("__quota")
-    sure = placed.where(~F.col("__ends")).withColumn("__once", fits & (F.col("size") > 0)).withColumn("__left", F.lit(None).cast("long"))
-    inside = Window.partitionBy("source", "__bucket").orderBy("__draw", "__id", "__row").rowsBetween(Window.unboundedPreceding, 0)
-    edge = placed.where("__ends").withColumn("__upto", F.col("__before") + F.sum("size").over(inside))
-    edge = edge.withColumn("__once", (F.col("__upto") <= F.col("__quota")) & (F.col("size") > 0)).drop("__upto")
-    taken = Window.partitionBy("source", "__bucket")
-    edge = edge.withColumn(
-        "__left",
-        F.col("__quota") - F.col("__before") - F.coalesce(F.sum(F.when(F.col("__once"), F.col("size"))).over(taken), F.lit(0)),
-    )
-    drawn = written(sure.unionByName(edge), "drawn")
-    # What is still missing goes to the largest document that fits, ties by draw.
-    missing = drawn.where("__left is not null").groupBy("source").agg(F.first("__left").alias("__miss"))
-    free = drawn.where(~F.col("__once") & (F.col("size") > 0)).alias("d").join(
-        missing.where("__miss > 0").alias("m"),
-        F.col("d.source").eqNullSafe(F.col("m.source")) & (F.col("size") <= F.col("__miss")),
+    plan = written(plan.select("source", "source_size", "target", "__whole", "__quota"), "plan")
+    drawn = written(_drawn(sized.join(_named(plan), _of_source()).drop("__of"), "__quota"), "drawn")
+    # Documents passed over get what is missing, until none of them fits.
+    taken = drawn.where("__once").groupBy("source").agg(F.sum("size").alias("__taken"))
+    rest = plan.join(_named(taken), _of_source(), "left").select(
+        "source", (F.col("__quota") - F.coalesce("__taken", F.lit(0))).alias("__rest")
     )
-    filler = free.groupBy("d.source").agg(F.max_by("__row", F.struct("size", "__draw", "__id", "__row")).alias("__row"))
-    joined = drawn.join(filler.select("__row", F.lit(1).alias("__fills")), "__row", "left")
+    rest = written(rest, "missing")
+    free = drawn.where(~F.col("__once") & (F.col("size") > 0)).select("source", "size", "__draw", "__id", "__row", "__bucket")
+    fills = None
+    while True:
+        free = free.join(_named(rest), _of_source()).drop("__of").where("size <= __rest")
+        free = written(free, "free")
+        if free.isEmpty():
+            break
+        more = written(_drawn(free, "__rest"), "more")
+        now = more.where("__once").select("__row")
+        fills = now if fills is None else fills.unionByName(now)
+        taken = more.groupBy("source").agg((F.first("__rest") - F.sum(F.when(F.col("__once"), F.col("size")))).alias("__rest"))
+        rest = written(taken, "missing")
+        free = more.where(~F.col("__once")).drop("__rest", "__once")
+    joined = drawn.withColumn("__fills", F.lit(None))
+    if fills is not None:
+        joined = drawn.join(listed(fills.withColumn("__fills", F.lit(1))), "__row", "left")
     repeats = F.col("__whole") + F.when(F.col("__once") | F.col("__fills").isNotNull(), 1).otherwise(0)
     return joined.select(
         F.col("__id").alias(id_col), "size", "source_size", "target", repeats.alias("repeats"),

@@ -68,3 +68,20 @@ def test_odd_rows(spark):
 def test_main_path_has_no_python(spark):
     plan = mix(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_documents_do_not_end_a_draw(spark, seed):
+    """No document left out fits into what a source misses."""
+    rng = random.Random(seed)
+    sizes = [(s, rng.randint(5, 40)) for s in "abc" for _ in range(150)] + [(s, rng.randint(900, 1500)) for s in "abc" for _ in range(4)]
+    data = [(i, "w " * n, s) for i, (s, n) in enumerate(sizes)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    groups = {}
+    for r in mix(docs, seed=seed, buckets=16).collect():
+        groups.setdefault(data[r.doc_id][2], []).append(r)
+    for group in groups.values():
+        whole = min(r.repeats for r in group)
+        missing = group[0].target - sum(r.taken for r in group)
+        left = [r.size for r in group if r.repeats == whole and whole < 3]
+        assert missing > -1e-6 and (not left or missing < min(left))
