@@ -29,7 +29,7 @@ TOKEN = re.compile(
     r"|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!/?a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # Elements and words in class, id or role that hold no article text.
 SKIPPED = set("head nav header footer aside form menu dialog object audio video canvas fieldset".split())
 SKIPPED_WORDS = set(
@@ -39,6 +39,9 @@ SKIPPED_WORDS = set(
     "recommended breadcrumb breadcrumbs pagination pager widget login signup search form contentinfo complementary "
     "disclaimer alert toolbar skip hidden".split()
 )
+# First parts of names that tell what a page has or lacks.
+STATES = set("no not has have with without is hide show".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -50,23 +53,39 @@ CELLS = {"td", "th", "br"}
 COPY_SHARE = 0.5
 
 
-def _skips(tag: str, attributes: str) -> bool:
+def _skips(tag: str, attributes: str, by_name: bool = True) -> bool:
+    """Whether an element goes by its tag or by a whole name, or the last part of one, in class, id or role."""
     if tag in SKIPPED:
         return True
-    if tag in ("html", "body", "main") or not attributes:
+    if not by_name or tag in ("html", "body", "main") or tag in HEADINGS or not attributes:
         return False
     for match in ATTRIBUTE.finditer(attributes):
-        value = (match[2] or match[3] or match[4] or "").lower()
-        if SKIPPED_WORDS.intersection(re.split(r"[^a-z]+", value)):
-            return True
+        if match[1].lower() not in ("class", "id", "role"):
+            continue
+        for name in (match[2] or match[3] or match[4] or "").lower().split():
+            parts = [x for x in re.split(r"[^a-z]+", name) if x]
+            if parts and parts[-1] in SKIPPED_WORDS and parts[0] not in STATES:
+                return True
     return False
 
 
 def page_blocks(source: str | None) -> list[tuple[str, bool]]:
     """Blocks of a page in order with whether an article element holds them as content.
 
-    Where the page has an article or main element, only its blocks count.
+    Where the page has an article or main element, only its blocks count. Names of elements do not count where
+    they would leave nothing of the articles, or of a page with paragraphs.
     """
+    blocks = _blocks(source, True)
+    if not any(b[1] for b in blocks) and source:
+        every = _blocks(source, False)
+        if any(b[1] for b in every) or not blocks and re.search(r"<p\b", source, re.IGNORECASE):
+            blocks = every
+    chosen = [b for b in blocks if b[1]] if any(b[1] for b in blocks) else blocks
+    return [(text, sure) for text, _, sure in chosen]
+
+
+def _blocks(source: str | None, by_name: bool) -> list[tuple[str, bool, bool]]:
+    """Text, whether it is in an article, and whether it is content there, of every block that isn't skipped."""
     blocks: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, skipped, in article
@@ -98,10 +117,12 @@ def page_blocks(source: str | None) -> list[tuple[str, bool]]:
                 content = tag if tag in CONTENT else None
             if tag in BLOCKS and tag not in VOID and tag not in ("p", "hr"):
                 above = stack[-1] if stack else ("", False, False)
-                skipped = above[1] or _skips(tag, match[3])
+                # An article goes by its name only inside another one.
+                named = by_name and (tag != "article" or above[2])
+                skipped = above[1] or _skips(tag, match[3], named)
                 inside = above[2] or tag in ("article", "main") or 'role="main"' in match[3]
                 stack.append((tag, skipped, inside and not skipped))
-            elif tag in SKIPPED and tag not in BLOCKS or tag not in VOID and match[3] and _skips(tag, match[3]):
+            elif tag in SKIPPED and tag not in BLOCKS or tag not in VOID and match[3] and _skips(tag, match[3], by_name):
                 close()
                 above = stack[-1] if stack else ("", False, False)
                 stack.append((tag, True, False))
@@ -115,8 +136,7 @@ def page_blocks(source: str | None) -> list[tuple[str, bool]]:
                     del stack[depth:]
                     break
     close()
-    chosen = [b for b in blocks if b[1]] if any(b[1] for b in blocks) else blocks
-    return [(text, sure) for text, _, sure in chosen]
+    return blocks
 
 
 def shared_lines(left: list[int], right: list[int]) -> list[int]:

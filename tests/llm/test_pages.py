@@ -101,3 +101,21 @@ def test_nearest_over_range_borders(spark, parts):
         sides = [(-common(p, line[j][1]), n, line[j][2]) for n, j in enumerate((i - 1, i + 1)) if 0 <= j < len(line) and line[j][0] == h]
         want[k] = min(sides)[2]
     assert got == want
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<article class='post comments-open'><p>a</p></article>", ["a"]),
+        ("<div class='content-area no-sidebar'><article><p>a</p></article></div>", ["a"]),
+        ("<div class='post has-banner'><p>a</p></div>", ["a"]),
+        ("<article><h1 class='article-header'>t</h1><p>a</p></article>", ["t", "a"]),
+        ("<div data-id='menu' data-role='search' title='a class=ad'><p>a</p></div>", ["a"]),
+        ("<div class='modal'><article><p>a</p></article></div><p>out</p>", ["a"]),
+        ("<div class='promo'><p>a</p></div>", ["a"]),
+        ("<article class='comments'><p>a</p><article class='comment'><p>no</p></article></article>", ["a"]),
+        ("<div class='related'><p>no</p></div><p>a</p>", ["a"]),
+    ],
+)
+def test_names_do_not_hide_the_article(source, want):
+    assert texts(source) == want
