@@ -132,9 +132,9 @@ def _fingerprints(words: int):
             band_rows = [None if nulls[i] else bands[place[i]] for i in range(len(sizes))]
             sketch_rows = [None if nulls[i] else sketches[place[i]] for i in range(len(sizes))]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes), pa.array(names, pa.binary()),
+                [part.column("id"), part.column("mark"), pa.array(sizes), pa.array(names, pa.binary()),
                  pa.array(band_rows, pa.list_(pa.int64())), pa.array(sketch_rows, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "node", "bands", "sketch"],
+                ["id", "mark", "n_shingles", "node", "bands", "sketch"],
             )
 
     return run
@@ -184,14 +184,16 @@ def differing_bits(left: Column, right: Column) -> Column:
 class NearDuplicates:
     """Links between the shingle sets of a table of texts."""
 
-    def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, mark: Column | None = None):
         self.percent, self.words, self.sets = percent, words, None
         self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = self.texts.schema["id"].dataType.simpleString()
+        # What tells rows of one id apart, where asked for.
+        marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.lit(None).cast("binary") if mark is None else mark).alias("mark"))
         self.prints = written(
-            self.texts.mapInArrow(
+            marked.mapInArrow(
                 _fingerprints(words),
-                f"id {id_type}, n_shingles long, node binary, bands array<long>, sketch array<long>",
+                f"id {id_type}, mark binary, n_shingles long, node binary, bands array<long>, sketch array<long>",
             ),
             "prints",
         )
@@ -298,22 +300,30 @@ def near_duplicates(
     white texts are linked with nothing and stay. Repeated rows give repeated rows. A null id
     is passed over as smallest id; such a row stays only if its whole component has none.
     """
-    job = NearDuplicates(docs, words, percent, id_col, text_col)
+    found = _decided(NearDuplicates(docs, words, percent, id_col, text_col))
+    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _decided(job: NearDuplicates) -> DataFrame:
+    """``id, mark, n_shingles, component_id, kept`` of every row."""
     roots = job.components()
-    placed = job.labelled(job.prints.select("id", "n_shingles", "node"), roots, "node", "root")
+    placed = job.labelled(job.prints.select("id", "mark", "n_shingles", "node"), roots, "node", "root")
     smallest = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     out = placed.join(smallest, "root", "left").withColumn(
         "component_id", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id"))
     )
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates; same columns."""
-    dropped = near_duplicates(docs, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """``docs`` with one document of each group of near duplicates; same columns.
+
+    Rows go by id and text: of rows that share an id, also none, only those that are near copies.
+    """
+    digest = F.unhex(F.md5("text"))
+    found = _decided(NearDuplicates(docs, words, percent, "doc_id", "text", digest))
+    dropped = found.where(~F.col("kept")).select(F.col("id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__gone")) & digest.eqNullSafe(F.col("__mark")), "left_anti")
 
 
 _SQL = r"""

@@ -98,3 +98,15 @@ def test_components_of_a_long_chain(spark):
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.root) for r in found} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
     assert len(found) == 63
+
+
+def test_only_the_rows_of_near_copies_go(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    other = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3)]
+    data = [
+        (1, " ".join(base)), (None, edited(rng, base, 1)), (None, other[0]), (None, other[1]), (None, None),
+        (5, edited(rng, base, 1)), (5, other[2]), (5, other[2]),
+    ]
+    left = without_near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, [data[i] for i in (0, 2, 3, 4, 6, 7)]))
