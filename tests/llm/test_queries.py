@@ -10,7 +10,7 @@ from shelfrank.llm.queries import ORACLES, QUERIES
 
 
 def test_one_query_per_operator():
-    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 14)] == [1] * 13
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
 
 
