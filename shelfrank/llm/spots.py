@@ -112,7 +112,7 @@ def before_each(keys: DataFrame, parts: int) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame, anchors: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, edited, spots, edited_spots, next_spots`` of every document.
+    """``doc_id, text, next_id, edited, spots, edited_spots, next_spots`` of every document.
 
     The edited text has its last quarter replaced by as many first characters of the next document in the order
     (doc_id, digest of id and text; null ids first), after the last the first. Rows that share id and text
@@ -122,10 +122,12 @@ def edited_fingerprints(docs: DataFrame, anchors: list[int], id_col: str = "doc_
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit("t"), "text")))
+    # Both joins below take the same three columns, so the texts are shuffled once.
     chain = before_each(rows.select("doc_id", "key", F.length("text").alias("n")).distinct(), parts)
     following = rows.join(chain, "key").select(
-        F.col("before").alias("key"), F.expr("substring(text, 1, cast(floor(before_n / 4) as int))").alias("head"), "text"
-    )
+        F.col("before").alias("key"), F.expr("substring(text, 1, cast(floor(before_n / 4) as int))").alias("head"),
+        "text", F.col("doc_id").alias("next_id"),
+    )
     following = signatures(following, anchors, F.col("text"), "next_spots", 32).drop("text").dropDuplicates(["key"])
     both = rows.join(following, "key").drop("key")
     kept = F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))")
@@ -179,4 +181,5 @@ def op12_spots(spark: SparkSession, folder: str) -> DataFrame:
         fingerprint_text(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+        "next_id",
     )
