@@ -72,21 +72,26 @@ def _skips(tag: str, attributes: str, by_name: bool = True) -> bool:
 def page_blocks(source: str | None) -> list[tuple[str, bool]]:
     """Blocks of a page in order with whether an article element holds them as content.
 
-    Where the page has an article or main element, only its blocks count. Names of elements do not count where
-    they would leave nothing of the articles, or of a page with paragraphs.
+    Where an article or main element holds half of the page's blocks or of its text, only its blocks count, and
+    top headlines before it. Names of elements do not count where they would leave nothing of the articles, or
+    of a page with paragraphs.
     """
     blocks = _blocks(source, True)
     if not any(b[1] for b in blocks) and source:
         every = _blocks(source, False)
         if any(b[1] for b in every) or not blocks and re.search(r"<p\b", source, re.IGNORECASE):
             blocks = every
-    chosen = [b for b in blocks if b[1]] if any(b[1] for b in blocks) else blocks
-    return [(text, sure) for text, _, sure in chosen]
+    inside = [i for i, b in enumerate(blocks) if b[1]]
+    size = lambda places: sum(len(blocks[i][0]) for i in places)
+    if inside and (2 * len(inside) >= len(blocks) or 2 * size(inside) >= size(range(len(blocks)))):
+        blocks = [b for i, b in enumerate(blocks) if b[1] or b[3] and i < inside[0]]
+    return [(text, sure) for text, _, sure, _ in blocks]
 
 
-def _blocks(source: str | None, by_name: bool) -> list[tuple[str, bool, bool]]:
-    """Text, whether it is in an article, and whether it is content there, of every block that isn't skipped."""
-    blocks: list[tuple[str, bool, bool]] = []
+def _blocks(source: str | None, by_name: bool) -> list[tuple[str, bool, bool, bool]]:
+    """Text, whether it is in an article, whether it is content there, and whether it is a top headline, of every
+    block that isn't skipped. A header inside an article belongs to it."""
+    blocks: list[tuple[str, bool, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, skipped, in article
     content: str | None = None
@@ -97,7 +102,7 @@ def _blocks(source: str | None, by_name: bool) -> list[tuple[str, bool, bool]]:
             text = " ".join(html.unescape("".join(parts)).split())
             inside = bool(stack) and stack[-1][2]
             if text:
-                blocks.append((text, inside, inside and content is not None))
+                blocks.append((text, inside, inside and content is not None, content == "h1"))
             parts = []
 
     for match in TOKEN.finditer(source or ""):
@@ -119,7 +124,8 @@ def _blocks(source: str | None, by_name: bool) -> list[tuple[str, bool, bool]]:
                 above = stack[-1] if stack else ("", False, False)
                 # An article goes by its name only inside another one.
                 named = by_name and (tag != "article" or above[2])
-                skipped = above[1] or _skips(tag, match[3], named)
+                head = tag == "header" and above[2]
+                skipped = above[1] or not head and _skips(tag, match[3], named)
                 inside = above[2] or tag in ("article", "main") or 'role="main"' in match[3]
                 stack.append((tag, skipped, inside and not skipped))
             elif tag in SKIPPED and tag not in BLOCKS or tag not in VOID and match[3] and _skips(tag, match[3], by_name):
@@ -212,7 +218,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for source, drops in zip(part.column("html"), part.column("drops"), strict=True):
                 gone = set(drops.as_py() or ())
-                out.append("\n".join(t for i, (t, _) in enumerate(page_blocks(source.as_py())) if i not in gone))
+                out.append("\n\n".join(t for i, (t, _) in enumerate(page_blocks(source.as_py())) if i not in gone))
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
             )
@@ -256,7 +262,7 @@ def nearest_pages(prints: DataFrame) -> DataFrame:
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, text``: the main text of every page, blocks in page order joined by a line feed.
+    """``page_id, url, text``: the main text of every page, blocks in page order joined by two line feeds.
 
     Null and empty pages give an empty text. A null URL is a host of its own with an empty path. Repeated rows
     count as one page when pairing and give repeated results; a page alone on its host is not compared.

@@ -17,7 +17,7 @@ def article(source):
     if not found:
         return ""
     parts = [" ".join(html.unescape(re.sub(r"<[^>]*(>|$)", " ", x)).split()) for x in re.split(r"</?p>|</?h1>", found[1])]
-    return "\n".join(x for x in parts if x)
+    return "\n\n".join(x for x in parts if x)
 
 
 def test_query(spark, small):
@@ -42,6 +42,9 @@ def texts(source):
         ("<table><tr><td>a<td>b</tr></table>", ["a b"]), ("a <!-- b --> c <foot", ["a c"]), ("1 < 2", ["1 < 2"]),
         ('<p title="a>b">c</p>', ["c"]), ("<style>p{}</style><title>t</title>", []),
         ("<span class='ad'>x</span>y", ["y"]), ("<article>", []),
+        ("<div class=post><p>long text</p><p>of some</p><p>blocks</p></div><article>short</article>", ["long text", "of some", "blocks", "short"]),
+        ("<h1>Head</h1><article><p>b</p></article>", ["Head", "b"]), ("<article><header><h1>t</h1></header><p>b</p></article>", ["t", "b"]),
+        ("<header><h1>site</h1></header><article><p>b</p></article>", ["b"]),
     ],
 )
 def test_blocks(source, want):
@@ -76,7 +79,7 @@ def test_template_lines_go_and_copies_stay(spark):
     pages = spark.createDataFrame(data, SCHEMA).selectExpr("*", "'u' AS text", "1 AS key")
     got = {r.page_id: r.text for r in extract_pages(pages).collect()}
     assert got[2] == "y" * 80 and got[3] == "z" * 70 and got[7] == ""
-    assert got[4] == got[5] == "Welcome to the site\n" + ("same text " * 30).strip() + "\nAll rights reserved"
+    assert got[4] == got[5] == "Welcome to the site\n\n" + ("same text " * 30).strip() + "\n\nAll rights reserved"
     assert got[6].startswith("Welcome") and extract_pages(pages).count() == len(data)
     assert extract_pages(pages.limit(0)).count() == 0
 
