@@ -390,30 +390,28 @@ def knn_session(spark, d):
     return _neighbour_rows(_knn(spark, d, "session"))
 
 
-_DOT_PAIRS = """SELECT a.user_idx, b.user_idx AS neighbour, round(sum(a.w * b.w), 9) AS similarity
+DOT_PAIRS = """SELECT a.user_idx, b.user_idx AS neighbour, round(sum(a.w * b.w), 9) AS similarity
   FROM feats a JOIN feats b ON a.feat = b.feat AND a.user_idx <> b.user_idx GROUP BY ALL"""
 
 
-@query(
-    "knn_pattern",
-    sql(
-        _top_sql(_DOT_PAIRS),
-        recent_sql(50),
-        """steps AS (SELECT user_idx, item_idx::VARCHAR || '>' || (lead(item_idx) OVER (PARTITION BY user_idx ORDER BY pos))::VARCHAR AS feat FROM recent)""",
-        """trans AS (SELECT user_idx, feat, count(*) AS cnt FROM steps WHERE feat IS NOT NULL GROUP BY ALL)""",
-        """feats AS (SELECT user_idx, feat, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY user_idx)) AS w FROM trans)""",
-    ),
+PATTERN = (
+    """steps AS (SELECT user_idx, item_idx::VARCHAR || '>' || (lead(item_idx) OVER (PARTITION BY user_idx ORDER BY pos))::VARCHAR AS feat FROM recent)""",
+    """trans AS (SELECT user_idx, feat, count(*) AS cnt FROM steps WHERE feat IS NOT NULL GROUP BY ALL)""",
+    """feats AS (SELECT user_idx, feat, cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY user_idx)) AS w FROM trans)""",
 )
+
+
+@query("knn_pattern", sql(_top_sql(DOT_PAIRS), recent_sql(50), *PATTERN))
 def knn_pattern(spark, d):
     return _neighbour_rows(_knn(spark, d, "pattern"))
 
 
-_TEMPORAL = """feats AS (SELECT user_idx, feat, w / sum(w) OVER (PARTITION BY user_idx) AS w FROM (
+TEMPORAL = """feats AS (SELECT user_idx, feat, w / sum(w) OVER (PARTITION BY user_idx) AS w FROM (
   SELECT user_idx, item_idx AS feat, sum(power(0.8, newest - iter_no)) AS w FROM (
     SELECT *, max(iter_no) OVER (PARTITION BY user_idx) AS newest FROM recent) GROUP BY ALL))"""
 
 
-@query("knn_temporal", sql(_top_sql(_DOT_PAIRS), recent_sql(50), _TEMPORAL))
+@query("knn_temporal", sql(_top_sql(DOT_PAIRS), recent_sql(50), TEMPORAL))
 def knn_temporal(spark, d):
     return _neighbour_rows(_knn(spark, d, "temporal"))
 

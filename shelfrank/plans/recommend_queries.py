@@ -12,7 +12,7 @@ from shelfrank.operators.copula import GaussianCopula
 from shelfrank.operators.distances import synthetic_quality as quality_report
 from shelfrank.operators.weighted import weighted_choice
 from shelfrank.plans import replay
-from shelfrank.plans.metric_queries import NGRAM, SESSION, SESSION_PAIRS, _rounded, _top_sql, ucb_sql
+from shelfrank.plans.metric_queries import DOT_PAIRS, NGRAM, PATTERN, SESSION, SESSION_PAIRS, TEMPORAL, _rounded, _top_sql, ucb_sql
 from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker, additive_top_k
 from shelfrank.plans.recommenders import (
     UCB,
@@ -233,14 +233,14 @@ def _fallback_sql(name: str, digits: int) -> str:
     return f"""{show_sql(name, digits)} UNION ALL {show_sql('pop', digits)} WHERE user_idx NOT IN (SELECT user_idx FROM {name})"""
 
 
-@query(
-    "rec_knn",
-    sql(
+def _knn_sql(pairs: str, *steps: str) -> str:
+    """Items of the nearest users' last 50 training rows, by expected revenue; popular ones for users without any."""
+    return sql(
         _fallback_sql("knn", 6),
         pop_sql(TRAIN),
         recent_sql(50, TRAIN),
-        SESSION,
-        f"near AS ({_top_sql(SESSION_PAIRS)})",
+        *steps,
+        f"near AS ({_top_sql(pairs)})",
         f"""knn AS (SELECT * FROM (SELECT user_idx, item_idx, relevance, price, row_number() OVER (
           PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank FROM (
           SELECT n.user_idx, r.item_idx, any_value(i.price) AS price,
@@ -249,12 +249,24 @@ def _fallback_sql(name: str, digits: int) -> str:
           JOIN items i ON i.item_idx = r.item_idx
           WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.{TRAIN} AND l.user_idx = n.user_idx AND l.item_idx = r.item_idx)
           GROUP BY n.user_idx, r.item_idx)) WHERE rank <= {K})""",
-    ),
-)
+    )
+
+
+@query("rec_knn", _knn_sql(SESSION_PAIRS, SESSION))
 def rec_knn(spark, d):
     return _shown(_recommend(spark, d, SequenceKnn("session")))
 
 
+@query("rec_knn_pattern", _knn_sql(DOT_PAIRS, *PATTERN))
+def rec_knn_pattern(spark, d):
+    return _shown(_recommend(spark, d, SequenceKnn("pattern")))
+
+
+@query("rec_knn_temporal", _knn_sql(DOT_PAIRS, TEMPORAL))
+def rec_knn_temporal(spark, d):
+    return _shown(_recommend(spark, d, SequenceKnn("temporal")))
+
+
 @query(
     "rec_ngram",
     sql(
