@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.config import EmptyDataFrameError, NotFittedError
 from shelfrank.functions import chance
 from shelfrank.functions.scalars import dot
 from shelfrank.operators.ordinal import split_ordinal
@@ -77,60 +78,25 @@ def label_ids(df: DataFrame, label: str, key: str) -> Column:
     return F.concat(F.lit(f"{label}_"), F.col(key).cast("string"))
 
 
-class TableGenerator:
-    """Draws rows from a real table: ``fit`` a table, ``generate`` n rows, ``sample`` a share."""
-
-    def __init__(self, label: str, key: str, seed: int = 42):
-        self.label, self.key, self.seed = label, key, seed
-        self._source: DataFrame | None = None
-        self._drawn: DataFrame | None = None
-        self.size = 0
-
-    def fit(self, df: DataFrame) -> "TableGenerator":
-        self._source = df.drop("__u")
-        return self
-
-    def generate(self, n: int, partitions: int | None = None) -> DataFrame:
-        if self._source is None:
-            raise NotFittedError("fit the generator before generate")
-        available = self._source.count()
-        if n > available:
-            raise ValueError(f"{n} rows wanted, {available} available")
-        drawn = sample_exact(self._source, n, self.seed, self.key)
-        self._drawn, self.size = drawn.repartition(partitions) if partitions else drawn, n
-        return self._drawn
-
-    def sample(self, fraction: float, call_no: int = 0) -> DataFrame:
-        """Each ``call_no`` gives an independent sample of the generated rows."""
-        if self._drawn is None:
-            raise EmptyDataFrameError("generate rows before sampling them")
-        return sample_fraction(self._drawn, fraction, f"{self.seed}#{call_no}", self.key)
-
-
-class CompositeGenerator:
-    """Several generators used together, in proportion to their weights."""
-
-    def __init__(self, parts: list[TableGenerator], weights: list[float] | None = None):
-        self.parts = parts
-        total = sum(p.size for p in parts)
-        if weights is None:
-            weights = [p.size / total if total else 1 / len(parts) for p in parts]
-        self.weights = weights
-
-    def generate(self, n: int) -> None:
-        for part, weight in zip(self.parts, self.weights):
-            part.generate(round(n * weight))
-
-    def sample(self, fraction: float, call_no: int = 0) -> DataFrame:
-        total = sum(p.size for p in self.parts)
-        result = None
-        for part, weight in zip(self.parts, self.weights):
-            wanted = int(total * fraction * weight)
-            if wanted > part.size:
-                raise ValueError(f"too few rows in generator {part.label}")
-            drawn = part.sample(wanted / part.size if part.size else 0.0, call_no)
-            result = drawn if result is None else result.unionByName(drawn)
-        return result
+def pooled(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables of one shape as one table; ``origin`` names the table of each row."""
+    tagged = [df.withColumn("origin", F.lit(name)) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, tagged)
+
+
+def draw_per_origin(pool: DataFrame, quotas: dict[str, int], seed: int, key: str) -> DataFrame:
+    """Exactly ``quotas[origin]`` rows of each origin, those with its smallest draws, in one pass over the pool.
+
+    Origins without a quota give none. Too few rows of an origin are an error when the result is read.
+    """
+    quota = F.create_map(*[F.lit(x) for pair in quotas.items() for x in pair])[F.col("origin")]
+    asked = pool.where(F.col("origin").isin(list(quotas))).withColumn("__u", chance.uniform(seed, "origin", key))
+    slices = F.floor(F.col("__u") * DRAW_BUCKETS)
+    placed = split_ordinal(asked, ["origin"], [F.col("__u"), F.col(key)], [slices], "__place")
+    sizes = pool.groupBy("origin").agg(F.count(F.lit(1)).alias("__size"))
+    short = F.concat(F.lit("too few rows in "), F.col("origin"))
+    checked = sizes.withColumn("__quota", F.when(quota > F.col("__size"), F.raise_error(short)).otherwise(quota))
+    return placed.join(checked, "origin").where(F.col("__place") <= F.col("__quota")).select(pool.columns)
 
 
 def random_catalogue_head(items: DataFrame, k: int, seed: int) -> DataFrame:

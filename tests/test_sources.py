@@ -5,7 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from shelfrank import session, views
-from shelfrank.config import EmptyDataFrameError, NotFittedError
+from shelfrank.config import EmptyDataFrameError
 from shelfrank.functions import transformers as t
 from shelfrank.operators import sampling
 from shelfrank.operators.copula import GaussianCopula
@@ -139,26 +139,17 @@ def test_repeated_columns(spark):
     assert schema.without_repeated_columns(doubled).columns == ["id", "price"]
 
 
-def test_generators(spark):
-    table = sampling.TableGenerator("a", "id", seed=3)
-    with pytest.raises(NotFittedError):
-        table.generate(1)
-    table.fit(spark.range(100))
-    with pytest.raises(EmptyDataFrameError):
-        table.sample(0.5)
-    with pytest.raises(ValueError):
-        table.generate(101)
-    assert table.generate(80).count() == 80
-    assert table.sample(1.0).count() == 80
-    other = sampling.TableGenerator("b", "id", seed=4).fit(spark.range(1000, 1100))
-    other.generate(20)
-    both = sampling.CompositeGenerator([table, other])
-    assert both.weights == [0.8, 0.2]
-    both.generate(50)
-    assert (table.size, other.size) == (40, 10)
-    assert both.sample(0.5).where("id >= 1000").count() <= 10
-    with pytest.raises(ValueError):
-        sampling.CompositeGenerator([table, other], [0.1, 0.9]).sample(1.0).count()
+def test_pool(spark):
+    pool = sampling.pooled({"a": spark.range(100), "b": spark.range(1000, 1100), "c": spark.range(5)})
+    drawn = sampling.draw_per_origin(pool, {"a": 80, "b": 0, "c": 5}, 3, "id")
+    counts = {r["origin"]: r["count"] for r in drawn.groupBy("origin").count().collect()}
+    assert counts == {"a": 80, "c": 5} and drawn.columns == pool.columns
+    again = sampling.draw_per_origin(pool.repartition(7), {"a": 80, "c": 5}, 3, "id")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, drawn.collect()))
+    with pytest.raises(Exception, match="too few rows in c"):
+        sampling.draw_per_origin(pool, {"a": 1, "c": 6}, 3, "id").collect()
+    shares = sampling.sample_by_stratum(pool, "origin", 0.5, 1, "id", {"a": 0.5, "b": 0.5})
+    assert shares.where("origin = 'c'").count() == 0 and 30 < shares.where("origin = 'a'").count() < 75
 
 
 def test_samples_do_not_depend_on_partitioning(spark, small):
