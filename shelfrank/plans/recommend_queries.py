@@ -334,7 +334,19 @@ def graph_propagate(spark, d):
     )
 
 
-@query("rec_graph_prop")
+_GRAPH_RECS = f"""node_vectors AS (SELECT node, list(x ORDER BY dim) AS vec, node < (SELECT max(user_idx) + 1 FROM log
+    WHERE {TRAIN} AND response > 0) AS is_user FROM x2 GROUP BY node),
+item_nodes AS (SELECT i.item_idx, i.price, n.vec FROM node_vectors n JOIN items i
+  ON i.item_idx = n.node - (SELECT max(user_idx) + 1 FROM log WHERE {TRAIN} AND response > 0) WHERE NOT n.is_user),
+prop_scored AS (SELECT n.node AS user_idx, i.item_idx, i.price,
+    round(i.price / (1 + exp(-list_inner_product(n.vec, i.vec))), 9) AS relevance
+  FROM node_vectors n JOIN users ON users.user_idx = n.node CROSS JOIN item_nodes i WHERE n.is_user
+    AND NOT EXISTS (SELECT 1 FROM log l WHERE {TRAIN} AND l.user_idx = n.node AND l.item_idx = i.item_idx)),
+prop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank
+  FROM prop_scored) WHERE rank <= {K})"""
+
+
+@query("rec_graph_prop", sql(_fallback_sql("prop", 6), pop_sql(TRAIN), _VECTORS, _PROPAGATE, _GRAPH_RECS))
 def rec_graph_prop(spark, d):
     return _shown(_recommend(spark, d, _propagation(spark, d)))
 
@@ -344,7 +356,25 @@ def rec_als(spark, d):
     return _shown(_recommend(spark, d, Als()))
 
 
-@query("hard_negatives")
+_HARD_SQL = f"""tastes AS (SELECT user_idx, list(x ORDER BY dim) AS profile FROM (
+  SELECT user_idx, dim, CASE WHEN sum(relevance) > 0 THEN sum(relevance * x) / sum(relevance) ELSE 0 END AS x FROM (
+    SELECT user_idx, relevance, unnest(vec) AS x, generate_subscripts(vec, 1) AS dim FROM log JOIN vectors USING (item_idx) WHERE {TRAIN})
+  GROUP BY ALL) GROUP BY 1),
+liked AS (SELECT user_idx, list(item_idx ORDER BY score DESC, item_idx) AS best FROM (
+  SELECT user_idx, item_idx, round(list_inner_product(profile, vec), 9) AS score FROM tastes CROSS JOIN vectors
+  QUALIFY row_number() OVER (PARTITION BY user_idx ORDER BY score DESC, item_idx) <= 11) GROUP BY 1),
+offered AS (SELECT user_idx, positive, list_filter(best, lambda b: b <> positive)[1:10] AS others FROM
+  (SELECT DISTINCT user_idx, item_idx AS positive FROM log WHERE {TRAIN} AND response > 0) JOIN liked USING (user_idx))"""
+
+
+@query(
+    "hard_negatives",
+    sql(
+        f"""SELECT user_idx, positive, others[1 + floor({hash_sql('42', 'user_idx', 'positive')} * len(others))::BIGINT] AS negative FROM offered""",
+        _VECTORS,
+        _HARD_SQL,
+    ),
+)
 def hard_negatives(spark, d):
     """For every purchase, one of the ten other items scoring highest for the user."""
     log = _train(spark, d)
