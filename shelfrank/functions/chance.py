@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 _SPAN = 4294967296.0  # 2**32, the range of eight hexadecimal digits
 
 
-def _digits(seed: int | str, keys: tuple[Column | str, ...]) -> Column:
+def _digits(seed: int | str, keys: tuple[Column | str, ...], digits: int = 8) -> Column:
     parts = [F.lit(str(seed))] + [
         (F.col(key) if isinstance(key, str) else key).cast("string") for key in keys
     ]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, digits), 16, 10).cast("long")
 
 
 def uniform(seed: int | str, *keys: Column | str) -> Column:
@@ -31,6 +31,15 @@ def open_uniform(seed: int | str, *keys: Column | str) -> Column:
     return (_digits(seed, keys) + F.lit(1)) / F.lit(_SPAN)
 
 
+def fine_uniform(seed: int | str, *keys: Column | str) -> Column:
+    """The same in steps of 2**-52, for draws that choose among very many things."""
+    return _digits(seed, keys, 13) / F.lit(float(1 << 52))
+
+
+def fine_open_uniform(seed: int | str, *keys: Column | str) -> Column:
+    return (_digits(seed, keys, 13) + F.lit(1)) / F.lit(float(1 << 52))
+
+
 def normal(seed: int | str, *keys: Column | str) -> Column:
     """Standard normal draw by the Box-Muller transform of two uniform draws."""
     radius = F.sqrt(F.lit(-2.0) * F.log(open_uniform(f"{seed}#1", *keys)))

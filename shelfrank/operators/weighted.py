@@ -50,7 +50,7 @@ def weighted_choice(wanted: DataFrame, weights: DataFrame, seed: int) -> DataFra
         until = 2 * F.col("done") + 2 * F.col("cnt") + 8
         batch = open_users.select(
             "user_idx", F.explode(F.sequence(F.col("done") + 1, until)).alias("draw")
-        ).withColumn("u", chance.uniform(seed, "user_idx", "draw"))
+        ).withColumn("u", chance.fine_uniform(seed, "user_idx", "draw"))
         hit = (
             batch.withColumn("slice", F.floor(F.col("u") * n_items))
             .join(table, "slice")
@@ -81,7 +81,7 @@ def weighted_choice(wanted: DataFrame, weights: DataFrame, seed: int) -> DataFra
     keyed = (
         weights.withColumn("piece", F.pmod(F.xxhash64("item_idx"), F.lit(pieces)).cast("int"))
         .join(spread, "piece")
-        .withColumn("key", F.log(chance.open_uniform(f"{seed}h", "user_idx", "item_idx")) / F.col("weight"))
+        .withColumn("key", F.log(chance.fine_open_uniform(f"{seed}h", "user_idx", "item_idx")) / F.col("weight"))
     )
     ranked = rank_by_score(keyed.select("user_idx", "item_idx", "key"), ["user_idx"], "key", out="turn").select(
         "user_idx", "item_idx", "turn"

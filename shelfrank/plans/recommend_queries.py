@@ -10,7 +10,6 @@ from shelfrank.functions import chance, transformers
 from shelfrank.operators.blocks import block_top_k
 from shelfrank.operators.copula import GaussianCopula
 from shelfrank.operators.distances import synthetic_quality as quality_report
-from shelfrank.operators.weighted import weighted_choice
 from shelfrank.plans import replay
 from shelfrank.plans.metric_queries import DOT_PAIRS, NGRAM, PATTERN, SESSION, SESSION_PAIRS, TEMPORAL, _rounded, _top_sql, ucb_sql
 from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker, additive_top_k
@@ -132,20 +131,45 @@ def rec_ucb_price(spark, d):
     return _shown(_recommend(spark, d, UCB(price_weight=DEFAULTS.price_weight)))
 
 
-@query("ucb_sampled")
+def _fine_sql(seed: str, *keys: str) -> str:
+    return hash_sql(seed, *keys).replace("1, 8)", "1, 13)").replace("4294967296.0", "4503599627370496.0")
+
+
+# The first distinct items of a row of draws; users who want over a quarter of the catalogue rank all keys.
+_DRAWN_SQL = f"""bounds AS (SELECT item_idx, price, relevance AS weight, sum(relevance) OVER () AS total, sum(relevance) OVER (ORDER BY item_idx) AS upto FROM ucb),
+ends AS (SELECT item_idx, (upto - weight) / total AS lo FROM bounds),
+held AS (SELECT user_idx, count(DISTINCT item_idx) AS n FROM log WHERE {TRAIN} GROUP BY 1),
+wanted AS (SELECT user_idx, least(coalesce(n, 0) + {K}, (SELECT count(*) FROM items)) AS cnt FROM users LEFT JOIN held USING (user_idx)),
+tries AS (SELECT user_idx, unnest(range(1, 16 * cnt + 100)) AS draw FROM wanted WHERE cnt * 4 <= (SELECT count(*) FROM items)),
+chosen AS (SELECT t.user_idx, e.item_idx, min(t.draw) AS draw FROM (SELECT *, {_fine_sql('42', 'user_idx', 'draw')} AS u FROM tries) t
+  ASOF JOIN ends e ON t.u >= e.lo GROUP BY ALL),
+keys AS (SELECT user_idx, item_idx, ln({_fine_sql('42h', 'user_idx', 'item_idx')} + 1 / 4503599627370496.0) / weight AS key
+  FROM wanted CROSS JOIN bounds WHERE cnt * 4 > (SELECT count(*) FROM items)),
+turns AS (SELECT user_idx, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY draw) AS turn FROM chosen
+  UNION ALL SELECT user_idx, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY key DESC, item_idx) FROM keys),
+drawn AS (SELECT user_idx, item_idx, turn::BIGINT AS turn FROM turns JOIN wanted USING (user_idx) WHERE turn <= cnt)"""
+
+
+@query("ucb_sampled", sql("SELECT user_idx, item_idx, turn FROM drawn", ucb_sql(TRAIN), _DRAWN_SQL))
 def ucb_sampled(spark, d):
     """Each user draws as many items as they have seen, plus k, by UCB probability."""
-    log, items = _train(spark, d), views.items(spark, d)
-    weights = UCB().fit(log).scores(items).select("item_idx", F.col("relevance").alias("weight"))
-    pairs = log.select("user_idx", "item_idx").distinct()
-    counts = pairs.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
-    wanted = (
-        views.users(spark, d)
-        .select("user_idx")
-        .join(counts, "user_idx", "left")
-        .select("user_idx", (F.coalesce("n", F.lit(0)) + K).alias("cnt"))
-    )
-    return weighted_choice(wanted, cut_lineage(weights), DEFAULTS.seed)
+    log = _train(spark, d)
+    return UCB().fit(log).drawn(log, K, views.users(spark, d), views.items(spark, d))
+
+
+@query(
+    "rec_ucb_sampled",
+    sql(
+        f"""SELECT user_idx, item_idx, round(weight / total, 6) AS relevance, price, rank::BIGINT AS rank FROM (
+        SELECT d.user_idx, d.item_idx, b.weight, b.total, b.price, row_number() OVER (PARTITION BY d.user_idx ORDER BY turn) AS rank
+        FROM drawn d JOIN bounds b USING (item_idx)
+        WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.{TRAIN} AND l.user_idx = d.user_idx AND l.item_idx = d.item_idx)) WHERE rank <= {K}""",
+        ucb_sql(TRAIN),
+        _DRAWN_SQL,
+    ),
+)
+def rec_ucb_sampled(spark, d):
+    return _shown(_recommend(spark, d, UCB(sample=True)))
 
 
 def content_sql(where: str, name: str, k: int) -> str:

@@ -20,6 +20,7 @@ from shelfrank.operators.ordinal import global_rank, rank_by_score, top_ranked
 from shelfrank.operators.sampling import item_slots
 from shelfrank.operators.sequences import last_n
 from shelfrank.operators.unseen import unseen_at
+from shelfrank.operators.weighted import weighted_choice
 from shelfrank.session import cut_lineage
 from shelfrank.sources.schema import check_binary_labels
 
@@ -166,15 +167,20 @@ class Popularity(Recommender):
 
 
 class UCB(Recommender):
-    """Upper confidence bound; ``price_weight`` blends in the min-max scaled price."""
+    """Upper confidence bound; ``price_weight`` blends in the min-max scaled price.
+
+    With ``sample`` every user draws items without replacement by their share of all bounds, as many as they
+    have seen and ``k`` more, and gets the first ``k`` unseen ones with that share as relevance.
+    """
 
     def __init__(
         self,
         exploration_coef: float = DEFAULTS.exploration_coef,
         price_weight: float = 0.0,
         seed: int = DEFAULTS.seed,
+        sample: bool = False,
     ):
-        self.coef, self.price_weight, self.seed = exploration_coef, price_weight, seed
+        self.coef, self.price_weight, self.seed, self.sample = exploration_coef, price_weight, seed, sample
         self.model: DataFrame | None = None
         self.fill: Column | None = None
 
@@ -205,7 +211,28 @@ class UCB(Recommender):
     def ranked(self, items: DataFrame) -> DataFrame:
         return global_rank(self.scores(items), "relevance", "item_idx", tie_desc=True, at_most=items.count())
 
+    def drawn(self, log: DataFrame | None, k: int, users: DataFrame, items: DataFrame) -> DataFrame:
+        """``user_idx, item_idx, turn``: the items that users draw, as many as each has in ``log`` and ``k`` more."""
+        weights = self.scores(items).select("item_idx", F.col("relevance").alias("weight"))
+        wanted = users.select("user_idx").distinct()
+        if log is None:
+            return weighted_choice(wanted.withColumn("cnt", F.lit(k).cast("long")), cut_lineage(weights), self.seed)
+        counts = log.select("user_idx", "item_idx").distinct().groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
+        wanted = wanted.join(counts, "user_idx", "left").select("user_idx", (F.coalesce("n", F.lit(0)) + k).alias("cnt"))
+        return weighted_choice(wanted, cut_lineage(weights), self.seed)
+
+    def sampled(self, log, k, users, items, filter_seen=True) -> DataFrame:
+        seen = log if filter_seen else None
+        drawn = self.drawn(seen, k, users, items)
+        if seen is not None:
+            drawn = without_seen(drawn, seen)
+        first = top_ranked(drawn, "user_idx", [F.col("turn")], k)
+        shares = self.probabilities(items).select("item_idx", F.col("probability").alias("relevance"), "price")
+        return first.join(shares, "item_idx").select(RECS)
+
     def predict(self, log, k, users, items, filter_seen=True):
+        if self.sample:
+            return self.sampled(log, k, users, items, filter_seen)
         return _ranked_list(self.ranked(items), users, log, k, filter_seen, items.count())
 
     def score_pairs(self, pairs: DataFrame) -> DataFrame:
