@@ -576,14 +576,16 @@ def _compared(spark, d):
     )
 
 
-def _compared_steps() -> list[str]:
-    parts, rows = [], []
-    for phase, fitted, first, last in (("train", 0, 1, LAST_TRAIN), ("test", LAST_TRAIN, LAST_TRAIN + 1, ITERATIONS)):
-        where = f"iter_no <= {fitted}"
-        parts += [pop_sql(where, f"popularity_{phase}"), random_sql(where, f"random_{phase}"), ucb_recs_sql(where, f"ucb_{phase}")]
-        for name in ("popularity", "random", "ucb"):
+def _compared_steps(refit: bool = False) -> list[str]:
+    parts, rows = [_VECTORS] if refit else [], []
+    for phase, fitted, first, last in replay.schedule(LAST_TRAIN, ITERATIONS, refit):
+        where, at = f"iter_no <= {fitted}", f"{phase}{fitted}"
+        parts += [pop_sql(where, f"popularity_{at}"), random_sql(where, f"random_{at}"), ucb_recs_sql(where, f"ucb_{at}")]
+        if refit:
+            parts.append(content_sql(where, f"content_{at}", K))
+        for name in ("popularity", "random", "ucb", "content")[: 4 if refit else 3]:
             rows.append(
-                f"SELECT '{name}' AS name, '{phase}' AS phase, user_idx, item_idx, price, rank, unnest(range({first}, {last + 1})) AS iter_no FROM {name}_{phase}"
+                f"SELECT '{name}' AS name, '{phase}' AS phase, user_idx, item_idx, price, rank, unnest(range({first}, {last + 1})) AS iter_no FROM {name}_{at}"
             )
     listed = " UNION ALL ".join(rows)
     labelled = f"""labelled AS (SELECT r.*, coalesce(b.mark, 0) AS response, coalesce(b.mark, 0) * price AS revenue FROM ({listed}) r LEFT JOIN (
@@ -603,6 +605,24 @@ def _rounded_compared(spark, d):
     return table.withColumn("value", F.when(money, F.round("value", 4)).otherwise(F.round("value", 6)))
 
 
+@query(
+    "refit_metrics",
+    sql(
+        """SELECT name, phase, iter_no::BIGINT AS iter_no, metric, CASE WHEN metric IN ('revenue', 'discounted_revenue')
+        THEN round(value, 4) ELSE round(value, 6) END AS value FROM metrics""",
+        *_compared_steps(refit=True),
+    ),
+)
+def refit_metrics(spark, d):
+    """Four recommenders, fitted anew before every training iteration."""
+    models = {"popularity": Popularity(), "random": Random(), "ucb": UCB(), "content": _content(spark, d)}
+    tables = views.interactions(spark, d), views.users(spark, d), views.items(spark, d)
+    table = replay.compare(models, *tables, K, LAST_TRAIN, ITERATIONS, refit=True)
+    money = F.col("metric").isin("revenue", "discounted_revenue")
+    value = F.when(money, F.round("value", 4)).otherwise(F.round("value", 6))
+    return table.select("name", "phase", F.col("iter_no").cast("long").alias("iter_no"), "metric", value.alias("value"))
+
+
 _MONEY = "metric IN ('revenue', 'discounted_revenue')"
 
 

@@ -22,7 +22,6 @@ from shelfrank.operators.sequences import last_n
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.operators.weighted import weighted_choice
 from shelfrank.session import cut_lineage
-from shelfrank.sources.schema import check_binary_labels
 
 RECS = ["user_idx", "item_idx", "relevance", "price", "rank"]
 
@@ -185,9 +184,12 @@ class UCB(Recommender):
         self.fill: Column | None = None
 
     def fit(self, log, users=None, items=None):
-        check_binary_labels(log)
-        rows = _row_count(log)
-        bonus = F.log(F.lit(self.coef) * rows)
+        # One pass counts the rows and the labels that are neither 0 nor 1.
+        odd = F.coalesce(~F.col("relevance").isin(0, 1), F.lit(True))
+        rows, wrong = log.agg(F.count(F.lit(1)), F.count_if(odd)).first()
+        if wrong:
+            raise ValueError("relevance must be 0 or 1")
+        bonus = F.log(F.lit(self.coef) * F.lit(rows))
         stats = log.groupBy("item_idx").agg(F.sum("relevance").alias("pos"), F.count(F.lit(1)).alias("total"))
         self.model = stats.select(
             "item_idx",

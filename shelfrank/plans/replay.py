@@ -112,6 +112,16 @@ def phase_of(iter_no: Column, last_train: int) -> Column:
     return F.when(iter_no <= last_train, F.lit("train")).otherwise(F.lit("test"))
 
 
+def schedule(last_train: int, iterations: int, refit: bool) -> list[tuple[str, int, int, int]]:
+    """``(phase, fitted until, first and last iteration judged)`` of every fit.
+
+    With ``refit`` each training iteration is judged by models that know all iterations before it."""
+    test = ("test", last_train, last_train + 1, iterations)
+    if refit:
+        return [*(("train", i - 1, i, i) for i in range(1, last_train + 1)), test]
+    return [("train", 0, 1, last_train), test]
+
+
 def compare(
     recommenders: dict[str, Recommender],
     log: DataFrame,
@@ -120,19 +130,18 @@ def compare(
     k: int,
     last_train: int,
     iterations: int,
+    refit: bool = False,
 ) -> DataFrame:
     """Long table (name, phase, iter_no, metric, value).
 
-    Train phase: fitted on the start iteration, judged on the training ones. Test phase: fitted
+    Train phase: fitted on the start iteration, judged on the training ones; with ``refit`` fitted anew before
+    each of them on all rows so far. Test phase: fitted
     on all training iterations, judged on the later ones. The name is a column of the
     recommendations, and one aggregation evaluates all of them.
     """
     log = cut_lineage(log.select("user_idx", "item_idx", "relevance", "response", "iter_no"))
     tagged = None
-    for phase, fitted_until, first, last in (
-        ("train", 0, 1, last_train),
-        ("test", last_train, last_train + 1, iterations),
-    ):
+    for phase, fitted_until, first, last in schedule(last_train, iterations, refit):
         known = log.where(F.col("iter_no") <= fitted_until)
         for name, recommender in recommenders.items():
             recs = (
@@ -145,10 +154,14 @@ def compare(
                     "item_idx",
                     "price",
                     "rank",
-                    F.explode(F.sequence(F.lit(first), F.lit(last))).alias("iter_no"),
+                    F.lit(first).alias("first"),
+                    F.lit(last).alias("last"),
                 )
             )
             tagged = recs if tagged is None else tagged.unionByName(recs)
+    # The metrics read the lists twice: write them once, before they are repeated for every iteration.
+    every = F.explode(F.sequence("first", "last")).alias("iter_no")
+    tagged = cut_lineage(tagged).select("name", "phase", "user_idx", "item_idx", "price", "rank", every)
     bought = log.where(F.col("response") > 0).select("user_idx", "item_idx", "iter_no").distinct()
     labelled = label(tagged, bought, ["user_idx", "item_idx", "iter_no"])
     wide = ranking_metrics(labelled, k, ["name", "phase", "iter_no"])
