@@ -712,7 +712,7 @@ def stream_popularity(spark, d):
     target = new_folder(spark, "popularity")
     run = jobs.popularity(jobs.events_stream(spark, d), target, new_folder(spark, "offsets"))
     run.awaitTermination()
-    return _rounded(spark.read.parquet(target), 4)
+    return _rounded(jobs.latest_popularity(spark, target), 4)
 
 
 @query(

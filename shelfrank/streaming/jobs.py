@@ -7,7 +7,8 @@ started query that stops when the available input is read.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from shelfrank.sources.served import ServedTable
 
 # Executors need no copy of this package: its functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -37,28 +40,25 @@ def events_stream(spark: SparkSession, folder: str, glob: str = "events*.parquet
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _write_whole(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
-
-    return write
-
-
 def popularity(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Running count, positive share and value per event type; the table is replaced per batch."""
+    """Running count, positive share and value per event type; the served table is replaced per batch."""
     totals = stream.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(0.0)).alias("revenue"),
     )
     return (
         totals.writeStream.outputMode("complete")
-        .foreachBatch(_write_whole(target))
+        .foreachBatch(lambda batch, number: ServedTable(batch.sparkSession, target, ["event_type"]).replace(batch, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def latest_popularity(spark: SparkSession, target: str) -> DataFrame:
+    return ServedTable(spark, target, ["event_type"]).read()
+
+
 def windowed(stream: DataFrame, width: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Counts and values per tumbling window and event type; later rows are dropped."""
     return (
@@ -69,18 +69,15 @@ def windowed(stream: DataFrame, width: str = "1 day", delay: str = "1 day") -> D
     )
 
 
-def window_metrics(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Windows in update mode: every batch writes its changed rows under its own id, and
-    readers take the latest batch per key. A repeated batch overwrites itself."""
+WINDOW_KEYS = ["window_start", "event_type"]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("batch_id", F.lit(batch_id))
-        tagged.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
+def window_metrics(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Windows in update mode: every batch adds its changed rows to a served table."""
     return (
         windowed(stream)
         .writeStream.outputMode("update")
-        .foreachBatch(write)
+        .foreachBatch(lambda batch, number: ServedTable(batch.sparkSession, target, WINDOW_KEYS).upsert(batch, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -88,11 +85,7 @@ def window_metrics(stream: DataFrame, target: str, checkpoint: str) -> Streaming
 
 
 def latest_windows(spark: SparkSession, target: str) -> DataFrame:
-    rows = spark.read.parquet(target)
-    newest = F.max_by(F.struct("n_events", "total_value"), "batch_id")
-    return rows.groupBy("window_start", "event_type").agg(newest.alias("v")).select(
-        "window_start", "event_type", "v.n_events", "v.total_value"
-    )
+    return ServedTable(spark, target, WINDOW_KEYS).read()
 
 
 def append_log(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -116,45 +109,84 @@ def append_log(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuer
     )
 
 
-LAST_N_OUT = "user_id long, events array<string>"
-_LAST_N_STATE = "keys array<long>, events array<string>"
+LAST_N_OUT = "user_id long, events array<string>, deleted boolean"
+RECENT = "ts_us long, event_type string"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def _last_n_function(n: int):
-    def update(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        keys, events = state.get if state.exists else ([], [])
-        kept = list(zip(keys, events))
-        # Arrow hands a large group over in pieces; only n entries are ever kept.
-        for frame in frames:
-            micros = frame["ts_us"].tolist()
-            kept = sorted(kept + list(zip(micros, frame["event_type"].tolist())))[-n:]
-        state.update(([k for k, _ in kept], [e for _, e in kept]))
-        yield pd.DataFrame({"user_id": [key[0]], "events": [[e for _, e in kept]]})
+def _in_time(row: tuple) -> tuple:
+    """Order of kept events: time, then type; a missing type first."""
+    return row[0], row[1] is not None, row[1] or ""
 
-    return update
 
+class LastEvents(StatefulProcessor):
+    """The last ``n`` events of a user as a list in the state store, never more than ``n`` entries.
 
-def last_n_events(stream: DataFrame, n: int, target: str, checkpoint: str) -> StreamingQuery:
-    """The last ``n`` event types of each user as keyed state of at most ``n`` entries."""
-    slim = stream.select("user_id", F.unix_micros("ts").alias("ts_us"), "event_type")
-    states = slim.groupBy("user_id").applyInPandasWithState(
-        _last_n_function(n), LAST_N_OUT, _LAST_N_STATE, "update", GroupStateTimeout.NoTimeout
-    )
+    With ``idle_ms`` a timer removes users once the watermark is that far past their newest event.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{target}/batch_id={batch_id}"
-        )
+    def __init__(self, n: int, idle_ms: int | None = None):
+        self.n, self.idle_ms = n, idle_ms
 
-    return (
-        states.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.recent = handle.getListState("recent", RECENT)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = [tuple(row) for row in self.recent.get()] if self.recent.exists() else []
+        before = kept[-1][0] if kept else None
+        # Arrow hands a large group over in pieces; only n entries are ever kept.
+        for frame in rows:
+            new = zip(frame["ts_us"].tolist(), frame["event_type"].tolist(), strict=True)
+            kept = sorted([*kept, *new], key=_in_time)[-self.n :]
+        self.recent.put(kept)
+        if self.idle_ms is not None and kept[-1][0] != before:
+            if before is not None:
+                self.handle.deleteTimer(before // 1000 + self.idle_ms)
+            self.handle.registerTimer(kept[-1][0] // 1000 + self.idle_ms)
+        yield pd.DataFrame({"user_id": [key[0]], "events": [[e for _, e in kept]], "deleted": [False]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.recent.clear()
+        yield pd.DataFrame({"user_id": [key[0]], "events": [[]], "deleted": [True]})
+
+    def close(self) -> None:
+        pass
+
+
+def last_n_events(
+    stream: DataFrame, n: int, target: str, checkpoint: str, idle: timedelta | None = None, delay: str = "1 day"
+) -> StreamingQuery:
+    """The last ``n`` event types of each user as keyed state of at most ``n`` entries, in RocksDB.
+
+    Late events take their place in time order. With ``idle``, users whose newest event lies that far
+    behind the watermark (``delay`` behind the newest event of all) leave the state and the served table, and events
+    behind the watermark are dropped. Events without a time take no part.
+    """
+    timed = stream.where(F.col("ts").isNotNull())
+    if idle is not None:
+        timed = timed.withWatermark("ts", delay)
+    slim = timed.select("user_id", "ts", F.unix_micros("ts").alias("ts_us"), "event_type")
+    idle_ms = None if idle is None else int(idle.total_seconds() * 1000)
+    spark = stream.sparkSession
+    before = spark.conf.get(PROVIDER, None)
+    # The setting is read when the query starts.
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        states = slim.groupBy("user_id").transformWithStateInPandas(
+            LastEvents(n, idle_ms), LAST_N_OUT, "Update", "None" if idle is None else "EventTime"
+        )
+        return (
+            states.writeStream.outputMode("update")
+            .foreachBatch(lambda batch, number: ServedTable(batch.sparkSession, target, ["user_id"]).upsert(batch, number))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def latest_states(spark: SparkSession, target: str) -> DataFrame:
-    rows = spark.read.parquet(target)
-    return rows.groupBy("user_id").agg(F.max_by("events", "batch_id").alias("events"))
+    return ServedTable(spark, target, ["user_id"]).read()
