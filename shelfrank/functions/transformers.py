@@ -9,8 +9,17 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions import chance, scalars
@@ -29,6 +38,47 @@ class _Saved(DefaultParamsReadable, DefaultParamsWritable):
     """Parameters are all the state."""
 
 
+class _ModelWriter(MLWriter):
+    def __init__(self, model: "_SavedModel"):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model._save_data(path)
+
+
+class _ModelReader(MLReader):
+    def __init__(self, kind: type["_SavedModel"]):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.kind._load_data(self.sparkSession, path)
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+class _SavedModel(MLReadable, MLWritable):
+    """A fitted model is its parameters and what ``_save_data`` writes next to them."""
+
+    def write(self) -> MLWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ModelReader(cls)
+
+    def _save_data(self, path: str) -> None:
+        raise NotImplementedError
+
+    @classmethod
+    def _load_data(cls, spark: SparkSession, path: str):
+        raise NotImplementedError
+
+
 class ConstantResponse(Transformer, HasOutputCol, HasConstant, _Saved):
     @keyword_only
     def __init__(self, value: float = 1.0, outputCol: str = "response"):
@@ -175,13 +225,20 @@ class RandomItemSelector(Estimator, HasUserKey, HasItemKey, HasSeedLabel, _Saved
         return self._copyValues(RandomItemSelectorModel(items))
 
 
-class RandomItemSelectorModel(Model, HasUserKey, HasItemKey, HasSeedLabel):
+class RandomItemSelectorModel(Model, HasUserKey, HasItemKey, HasSeedLabel, _SavedModel):
     k = Param(Params._dummy(), "k", "items per user", TypeConverters.toInt)
 
     def __init__(self, items: DataFrame):
         super().__init__()
         self.items = items
 
+    def _save_data(self, path: str) -> None:
+        self.items.write.parquet(f"{path}/items")
+
+    @classmethod
+    def _load_data(cls, spark: SparkSession, path: str) -> "RandomItemSelectorModel":
+        return cls(spark.read.parquet(f"{path}/items"))
+
     def _transform(self, users: DataFrame) -> DataFrame:
         from shelfrank.operators.sampling import users_with_random_items
 
@@ -221,13 +278,22 @@ class LatentFeatures(Estimator, HasInputCols, HasOutputCol, _Saved):
         return self._copyValues(LatentFeaturesModel(pipeline))
 
 
-class LatentFeaturesModel(Model, HasInputCols, HasOutputCol):
+class LatentFeaturesModel(Model, HasInputCols, HasOutputCol, _SavedModel):
     k = Param(Params._dummy(), "k", "number of components", TypeConverters.toInt)
 
     def __init__(self, pipeline):
         super().__init__()
         self.pipeline = pipeline
 
+    def _save_data(self, path: str) -> None:
+        self.pipeline.save(f"{path}/pipeline")
+
+    @classmethod
+    def _load_data(cls, spark: SparkSession, path: str) -> "LatentFeaturesModel":
+        from pyspark.ml import PipelineModel
+
+        return cls(PipelineModel.load(f"{path}/pipeline"))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
 

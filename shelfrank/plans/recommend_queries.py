@@ -27,9 +27,10 @@ from shelfrank.plans.recommenders import (
     content_profiles,
     with_fallback,
 )
-from shelfrank.plans.registry import query, sql
+from shelfrank.plans.registry import ORACLES, query, sql
 from shelfrank.plans.table_queries import _VECTORS, hash_sql, normal_sql, recent_sql
 from shelfrank.session import cut_lineage, new_folder
+from shelfrank.sources.models import load_recommender, save_recommender
 from shelfrank.streaming import jobs
 
 K = DEFAULTS.k
@@ -216,6 +217,16 @@ def rec_hybrid(spark, d):
     return _shown(_recommend(spark, d, Hybrid(parts, list(DEFAULTS.hybrid_weights))))
 
 
+@query("rec_saved", ORACLES["rec_hybrid"])
+def rec_saved(spark, d):
+    """The hybrid's rows from a model that was saved after fitting and loaded again."""
+    log, users, items = _train(spark, d), views.users(spark, d), views.items(spark, d)
+    folder = new_folder(spark, "model")
+    parts = [Popularity(), _content(spark, d)]
+    save_recommender(spark, Hybrid(parts, list(DEFAULTS.hybrid_weights)).fit(log, users, items), folder)
+    return _shown(load_recommender(spark, folder).predict(log, K, users, items))
+
+
 @query("rec_logistic")
 def rec_logistic(spark, d):
     return _shown(_recommend(spark, d, LogisticRanker()))
