@@ -26,12 +26,16 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def _located(docs: DataFrame) -> DataFrame:
-    """The documents with the file and row each comes from; tables not in files are written first."""
+    """Every document as one struct ``doc``, with the file and row it comes from; tables not in files, and such as have a
+    column ``_metadata`` of their own, are written first."""
     place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
-    try:
-        return docs.select(*docs.columns, *place)
-    except AnalysisException:
-        return written(docs, "located").select(*docs.columns, *place)
+    doc = F.struct("*").alias("doc")
+    if "_metadata" not in [c.lower() for c in docs.columns]:
+        try:
+            return docs.select(doc, *place)
+        except AnalysisException:
+            pass
+    return written(docs.select(doc), "located").select("doc", *place)
 
 
 def keep_state(digests: DataFrame, folder: str) -> DataFrame:
@@ -87,12 +91,12 @@ def exact_dedup(
 def _marked(located: DataFrame, id_col: str, text_col: str, digest_bits: int = 256) -> DataFrame:
     """As ``exact_dedup``, with the file and row of every document."""
     spark = located.sparkSession
-    norm = one_space(F.col(text_col))
+    number, norm = F.col("doc").getField(id_col), one_space(F.col("doc").getField(text_col))
     digest = F.unhex(F.sha2(norm, 256))
     if digest_bits < 256:
         digest = F.substring(digest, 1, digest_bits // 8)
     keep = F.struct(
-        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__file").alias("file"),
+        number.isNull().alias("no_id"), number.alias("id"), F.col("__file").alias("file"),
         F.col("__row").alias("row"),
     )
     digests = written(located.select(digest.alias("digest"), keep.alias("keep")), "digests")
@@ -145,7 +149,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` without the rows whose text a row with a smaller id has already; same columns."""
     located = _located(docs)
     stay = _marked(located, id_col, text_col).where("kept").select("__file", "__row")
-    return located.join(stay, ["__file", "__row"], "left_semi").select(*docs.columns)
+    return located.join(stay, ["__file", "__row"], "left_semi").select("doc.*")
 
 
 _SQL = r"""

@@ -50,3 +50,18 @@ def test_null_ids_come_last(spark):
     docs = spark.createDataFrame([(None, "same", "a"), (9, "same", "a"), (None, "alone", "a")], odd_documents(spark).schema)
     got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect()}
     assert got == {(None, 9, 2, False), (9, 9, 2, True), (None, None, 1, True)}
+
+
+@pytest.mark.parametrize("in_files", [True, False])
+def test_clashing_names(spark, tmp_path, in_files):
+    docs = odd_documents(spark).selectExpr(
+        "*", "1 AS __row", "2 AS __file", "'m' AS _metadata", "4 AS doc", "5 AS `a.b`", "6 AS norm", "7 AS copies"
+    )
+    if in_files:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert [r.doc_id for r in exact_dedup(docs).where("kept").orderBy("doc_id").collect()] == [1, 3, 4, 5, 6, 7, 8]
+    left = without_copies(docs)
+    assert left.columns == docs.columns
+    assert [r[0] for r in rows(left)] == [1, 3, 4, 5, 6, 7, 8]
+    assert {tuple(r)[3:] for r in left.collect()} == {(1, 2, "m", 4, 5, 6, 7)}
