@@ -152,12 +152,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: every document as often as it is taken; same columns."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    held = docs.select("doc_id", F.struct(*others).alias("__doc"), "text", "source")
+    """The mix itself: every document as often as it is taken; same columns, whatever the names of the others."""
+    held = docs.select("doc_id", F.struct("*").alias("__doc"), "text", "source")
     marked = mix(held, extra=("__doc",), **settings).where("repeats > 0")
     copies = marked.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
-    return copies.select(*[F.col(c) if c == "doc_id" else F.col(f"__doc.`{c}`").alias(c) for c in docs.columns])
+    return copies.select("__doc.*")
 
 
 @query("op10_source_mix")

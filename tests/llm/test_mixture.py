@@ -85,3 +85,14 @@ def test_long_documents_do_not_end_a_draw(spark, seed):
         missing = group[0].target - sum(r.taken for r in group)
         left = [r.size for r in group if r.repeats == whole and whole < 3]
         assert missing > -1e-6 and (not left or missing < min(left))
+
+
+def test_clashing_names(spark):
+    docs = odd_documents(spark).selectExpr(
+        "*", "1 AS `a.b`", "2 AS __doc", "3 AS __row", "4 AS __once", "5 AS size", "6 AS repeats", "7 AS target", "8 AS __copy"
+    )
+    found = mixed_documents(docs)
+    assert found.columns == docs.columns
+    assert {tuple(r)[3:] for r in found.collect()} == {(1, 2, 3, 4, 5, 6, 7, 8)}
+    plain = mixed_documents(odd_documents(spark))
+    assert rows(found.select("doc_id", "text", "source")) == rows(plain)
