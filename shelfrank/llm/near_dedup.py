@@ -318,12 +318,14 @@ def _decided(job: NearDuplicates) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates; same columns.
 
-    Rows go by id and text: of rows that share an id, also none, only those that are near copies.
+    Rows go by id and text: of rows that share an id, also none, only those that are near copies. Names of
+    other columns do not matter.
     """
-    digest = F.unhex(F.md5("text"))
-    found = _decided(NearDuplicates(docs, words, percent, "doc_id", "text", digest))
-    dropped = found.where(~F.col("kept")).select(F.col("id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__gone")) & digest.eqNullSafe(F.col("__mark")), "left_anti")
+    found = _decided(NearDuplicates(docs, words, percent, "doc_id", "text", F.unhex(F.md5("text"))))
+    dropped = found.where(~F.col("kept")).select("id", "mark").distinct()
+    held = docs.select(F.struct("*").alias("doc"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & F.unhex(F.md5("doc.text")).eqNullSafe(F.col("mark"))
+    return held.join(dropped, same, "left_anti").select("doc.*")
 
 
 _SQL = r"""

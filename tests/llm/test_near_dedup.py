@@ -110,3 +110,12 @@ def test_only_the_rows_of_near_copies_go(spark):
     ]
     left = without_near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
     assert sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, [data[i] for i in (0, 2, 3, 4, 6, 7)]))
+
+
+def test_clashing_names(spark):
+    docs = odd_documents(spark).selectExpr("*", "1 AS id", "2 AS mark", "3 AS __gone", "4 AS `a.b`", "5 AS doc", "6 AS kept")
+    found = without_near_duplicates(docs)
+    assert found.columns == docs.columns
+    assert {tuple(r)[3:] for r in found.collect()} == {(1, 2, 3, 4, 5, 6)}
+    plain = without_near_duplicates(odd_documents(spark))
+    assert sorted(map(repr, found.select("doc_id", "text", "source").collect())) == sorted(map(repr, plain.collect()))
