@@ -37,12 +37,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows. Squares are taken of rows scaled to 1, so that they neither overflow nor vanish."""
+    most = np.abs(x).max(1)
+    most[most == 0] = 1.0
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(1))
+
+
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 values, their scale, and the norms of the rounded vector and of the rest."""
-    scale = np.abs(x).max(1) / 127
+    scale = np.maximum(np.abs(x).max(1) / 127, np.finfo(float).tiny)
     q = np.rint(x / scale[:, None]).astype(np.int8)
     near = q * scale[:, None]
-    return q, scale, np.sqrt((near**2).sum(1)), np.sqrt(((x - near) ** 2).sum(1))
+    return q, scale, norms(near), norms(x - near)
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -58,29 +65,41 @@ def best_of_tile(q_ids, q_vectors, c_ids, c_vectors, k: int) -> list[tuple[int,
     x, y = q_vectors.astype(float), c_vectors.astype(float)
     qx, sx, near_x, rest_x = quantised(x)
     qy, sy, _, rest_y = quantised(y)
-    norm_y = np.sqrt((y**2).sum(1))
+    norm_y = norms(y)
     # Products of int8 values add up to less than 2**24 in up to 1,040 dimensions: exact as float32.
     kind = np.float32 if x.shape[1] <= 1040 else np.float64
-    product = (qx.astype(kind) @ qy.astype(kind).T) * sx[:, None] * sy
-    error = near_x[:, None] * rest_y + rest_x[:, None] * norm_y
-    error += SLACK * np.sqrt((x**2).sum(1))[:, None] * norm_y
+    # Scales of large and small vectors are multiplied first: either one alone could leave the range.
+    with np.errstate(over="ignore", invalid="ignore"):
+        product = (qx.astype(kind) @ qy.astype(kind).T) * (sx[:, None] * sy)
+        error = near_x[:, None] * rest_y + rest_x[:, None] * norm_y
+        error += SLACK * norms(x)[:, None] * norm_y
+        lower, upper = product - error, product + error
+    # Beyond the range of doubles bounds say nothing: such pairs are computed in full.
+    unknown = ~(np.isfinite(lower) & np.isfinite(upper))
+    lower[unknown], upper[unknown] = -np.inf, np.inf
     own = q_ids[:, None] == c_ids
-    lower, upper = product - error, product + error
     lower[own], upper[own] = -np.inf, -np.inf
     if len(c_ids) > k:
         floor = np.partition(lower, len(c_ids) - k, axis=1)[:, len(c_ids) - k]
     else:
         floor = np.full(len(q_ids), -np.inf)
     rows, columns = np.nonzero((upper >= floor[:, None]) & ~own)
-    scores = exact_products(x[rows], y[columns])
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = exact_products(x[rows], y[columns])
     heaps: list[list] = [[] for _ in q_ids]
     for row, score, vec in zip(rows.tolist(), scores.tolist(), c_ids[columns].tolist(), strict=True):
         heap = heaps[row]
+        # As in Spark's order, what is not a number comes before all numbers.
+        entry = (math.inf, 1, -vec) if math.isnan(score) else (score, 0, -vec)
         if len(heap) < k:
-            heapq.heappush(heap, (score, -vec))
-        elif (score, -vec) > heap[0]:
-            heapq.heapreplace(heap, (score, -vec))
-    return [(int(q), -vec, score) for q, heap in zip(q_ids, heaps, strict=True) for score, vec in heap]
+            heapq.heappush(heap, entry)
+        elif entry > heap[0]:
+            heapq.heapreplace(heap, entry)
+    return [
+        (int(q), -vec, math.nan if odd else score)
+        for q, heap in zip(q_ids, heaps, strict=True)
+        for score, odd, vec in heap
+    ]
 
 
 def _tile(k: int):
@@ -107,7 +126,8 @@ def nearest(
     Candidates with the query's own id take no part, nor rows whose id is null or whose vector is null,
     empty, all zero, or holds a null or a non-finite component. Vectors meet only vectors of their
     length. A repeated candidate counts every time; of a query id given several times the smallest vector is
-    searched. Fewer candidates than ``k`` give fewer rows; empty tables none.
+    searched. Fewer candidates than ``k`` give fewer rows; empty tables none. Products beyond the range of doubles are
+    infinite, or not a number where infinite terms cancel; the latter come first. Other columns do not matter.
     """
     vector = F.col(vector_col)
     finite = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))

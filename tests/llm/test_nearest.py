@@ -51,3 +51,19 @@ def test_odd_rows(spark):
     ]
     assert nearest(table.limit(0), table, 3).count() == 0
     assert nearest(table, table.limit(0), 3).count() == 0
+
+
+def test_components_near_the_ends_of_the_range(spark):
+    rng = np.random.default_rng(6)
+    data = [(i, [float(v) for v in rng.normal(size=4) * 10.0 ** rng.choice([-200, -160, 0, 100, 150])]) for i in range(90)]
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in nearest(table, table, 5).collect()) == expected(data, data, 5)
+
+
+def test_products_beyond_the_range(spark):
+    data = [(1, [1e200, 1e200]), (2, [1e200, -1e200]), (3, [1e200, 0.0]), (4, [-1e200, 0.0]), (5, [1.0, 1.0]), (6, [5e-324, 0.0])]
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, repr(r.score)) for r in nearest(table, table, 5).collect()}
+    assert len(got) == 30
+    assert [got[1, n] for n in range(1, 6)] == [(2, "nan"), (3, "inf"), (5, "2e+200"), (6, repr(5e-324 * 1e200)), (4, "-inf")]
+    assert got[5, 1] == (1, "2e+200") and got[6, 5] == (4, repr(-5e-324 * 1e200))
