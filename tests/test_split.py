@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from shelfrank import views
 from shelfrank.operators import sequences
 from shelfrank.operators.metrics import auc_roc, rank_all
-from shelfrank.operators.ordinal import global_rank, running_sums, sliding_context, split_ordinal
+from shelfrank.operators.ordinal import (
+    cut_along,
+    global_rank,
+    rank_by_score,
+    running_sums,
+    sliding_context,
+    split_ordinal,
+)
 from shelfrank.operators.unseen import unseen_at
 
 
@@ -93,3 +100,48 @@ def test_unseen_equals_brute_force(spark, log, small, tiny_limit, k):
     place = Window.partitionBy("user_idx").orderBy("rank")
     plain = free.withColumn("nth", F.row_number().over(place)).where(F.col("nth") <= k)
     assert rows(got) == rows(plain.select("user_idx", "item_idx", "nth"))
+
+
+@pytest.mark.parametrize("falling", [False, True])
+def test_a_group_is_cut_evenly_along_its_own_values(spark, falling):
+    """One group of scores within a thousandth, with nulls and NaN, next to a group of wide range."""
+    narrow = spark.range(3000).select(
+        F.lit("narrow").alias("g"), "id",
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 97 == 0, F.lit(float("nan"))).otherwise(0.5 + F.col("id") / 3e6).alias("s"),
+    )
+    wide = spark.range(3000).select(F.lit(None).cast("string").alias("g"), "id", (F.col("id") * 1e6).alias("s"))
+    table = narrow.unionByName(wide)
+    cut = cut_along(table, table.select("g").distinct(), ["g"], "s", 100, falling)
+    pieces = cut.groupBy("g", "__piece").agg(
+        F.count(F.lit(1)).alias("n"), F.min("s").alias("low"), F.max("s").alias("high"), F.max("__long").alias("long")
+    )
+    for row in pieces.collect():
+        assert row.n <= 100 or row.long and row.low == row.high, row
+    assert pieces.where("g = 'narrow'").count() >= 27
+    order = F.col("s").desc() if falling else F.col("s").asc()
+    by_value = Window.partitionBy("g").orderBy(order, "id")
+    by_piece = Window.partitionBy("g").orderBy("__piece", order, "id")
+    wrong = cut.withColumn("a", F.row_number().over(by_value)).withColumn("b", F.row_number().over(by_piece))
+    assert wrong.where("a <> b").count() == 0
+
+
+def test_rank_with_null_groups_scores_and_one_heavy_value(spark):
+    n = F.col("id")
+    table = spark.range(4000).select(
+        F.when(n % 4 == 0, None).otherwise(n % 4).alias("user_idx"), n.alias("item_idx"),
+        F.when(n % 5 == 0, None).when(n % 7 == 0, F.lit(float("nan"))).when(n % 2 == 0, 1.0).otherwise(n / 4000).alias("s"),
+    )
+    order = [F.col("s").desc(), F.col("item_idx")]
+    plain = table.withColumn("rank", F.row_number().over(Window.partitionBy("user_idx").orderBy(*order)))
+    split = rank_by_score(table, ["user_idx"], "s", tie_block=F.floor(F.col("item_idx") / 64), limit=50)
+    assert split.exceptAll(plain.withColumn("rank", F.col("rank").cast("long"))).count() == 0 and split.count() == 4000
+
+
+def test_large_pieces_are_cut_again(spark, monkeypatch):
+    from shelfrank.operators import ordinal
+
+    monkeypatch.setattr(ordinal, "PIECES", 4)
+    table = spark.range(500).select(F.lit(1).alias("g"), (F.col("id") * F.col("id")).alias("x"))
+    cut = cut_along(table, table.select("g").limit(1), ["g"], "x", 10)
+    assert cut.groupBy("__piece").count().agg(F.max("count")).first()[0] <= 10
+    assert cut.where("__long").isEmpty()
