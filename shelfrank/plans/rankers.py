@@ -9,13 +9,12 @@ tree sees a user only through its own thresholds: users between the same thresho
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 import sys
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfrank.config import DEFAULTS, NotFittedError
 from shelfrank.functions.scalars import feature_columns, price_response_relevance
 from shelfrank.operators.blocks import block_top_k
-from shelfrank.operators.ordinal import rank_by_score
+from shelfrank.operators.ordinal import cut_along, rank_by_score
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
 from shelfrank.session import cut_lineage
@@ -35,6 +34,8 @@ from shelfrank.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ITEMS_PER_BLOCK = 16_384
+GRID = 128  # a range of the grid holds at most this part of the items, or one value
+TIER, TIER_STEP = 256, 16
 USER_PREFIX, ITEM_PREFIX = "user_attr_", "item_attr_"
 
 
@@ -68,55 +69,103 @@ def feature_stages(own: list[str], theirs: list[str]) -> list:
     ]
 
 
-def _undominated(k: int):
-    """Rows of ``item_idx, b, g`` that fewer than ``k`` others of the same frames precede for every user.
+def _staircase(grid: np.ndarray, need: int) -> list[int]:
+    """Per row of a table of counts, the first column with fewer than ``need`` counted in earlier rows and later columns."""
+    ahead = np.zeros_like(grid)
+    ahead[1:, :-1] = grid.cumsum(0)[:-1, ::-1].cumsum(1)[:, ::-1][:, 1:]
+    # Along a row the counts fall.
+    return (ahead >= need).sum(1).tolist()
 
-    Of two items with a factor ``g`` of 0 or more, the one with larger ``g`` (or equal and the smaller id) and no
-    smaller ``b`` comes first whatever the user; with negative factors the one with no larger ``b``.
-    """
-
-    def keep(frames):
-        held = [f for f in frames if len(f)]
-        if not held:
-            return
-        table = pd.concat(held).sort_values(["g", "item_idx"], ascending=[False, True])
-        positive = int((table["g"] >= 0).sum())
-        chosen = []
-        for part, sign, room in ((table[:positive], 1.0, k), (table[positive:], -1.0, k - positive)):
-            heap: list[float] = []
-            for at, b in enumerate((sign * part["b"]).tolist()):
-                if room <= 0 or len(heap) >= room and b <= heap[0]:
-                    continue
-                chosen.append(part.index[at])
-                (heapq.heappush if len(heap) < room else heapq.heappushpop)(heap, b)
-        yield table.loc[chosen]
 
-    def run(frames):
-        yield from keep(f.set_index(np.arange(n << 40, (n << 40) + len(f))) for n, f in enumerate(frames))
+def short_list(items: DataFrame, need: int, work: list | None = None) -> DataFrame:
+    """Items of ``item_idx, b, g`` (``g`` of one sign) but those that ``need`` others beat in both numbers.
 
-    return run
+    Beaten means: by a larger ``g`` and a larger ``b``. The items are counted on a grid of quantiles of both; from
+    these counts, at most about a thousand a side whatever the number of items, the driver reads for each range of ``g`` which
+    ranges of ``b`` that many items precede for certain. The rest is counted again on a finer grid, while that
+    leaves out a quarter: those who beat an item often enough are among the rest too. ``work`` takes the sizes.
+    """
+    left = cut_lineage(items)
+    n = left.count()
+    if work is not None:
+        work.append(n)
+    while n > max(GRID, 4 * need):
+        # Ranges of g fall, ranges of b rise.
+        placed = left.withColumn("__all", F.lit(0))
+        for column, name, falling in (("g", "row", True), ("b", "col", False)):
+            placed = cut_along(placed, placed.select("__all").limit(1), ["__all"], column, math.ceil(n / GRID), falling)
+            placed = placed.withColumnRenamed("__piece", name).drop("__long")
+        placed = cut_lineage(placed)
+        cells = placed.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n")).collect()
+        rows, cols = (sorted({c[name] for c in cells}) for name in ("row", "col"))
+        row_at, col_at = ({piece: at for at, piece in enumerate(found)} for found in (rows, cols))
+        grid = np.zeros((len(rows), len(cols)), np.int64)
+        for cell in cells:
+            grid[row_at[cell["row"]], col_at[cell["col"]]] = cell["n"]
+        # A row whose ranges of b all go needs no entry.
+        kept = [(row, cols[at]) for row, at in zip(rows, _staircase(grid, need), strict=True) if at < len(cols)]
+        shape = placed.select("row", F.col("col").alias("from")).schema
+        steps = placed.sparkSession.createDataFrame(kept, shape)
+        rest = placed.join(F.broadcast(steps), "row").where(F.col("col") >= F.col("from"))
+        left = cut_lineage(rest.select(*items.columns))
+        before, n = n, left.count()
+        if work is not None:
+            work.append(n)
+        if n > 0.75 * before:
+            break
+    return left
 
 
 def additive_top_k(
-    users: DataFrame, items: DataFrame, seen: DataFrame | None, k: int, kind: str = "sigmoid_dot_price"
+    users: DataFrame,
+    items: DataFrame,
+    seen: DataFrame | None,
+    k: int,
+    kind: str = "sigmoid_dot_price",
+    tier: int = TIER,
+    work: list | None = None,
 ) -> DataFrame:
     """Best unseen items by a rising function of ``a + b`` times ``g``: ``user_idx, item_idx, relevance, rank``.
 
-    ``users`` has ``user_idx, a``; ``items`` has ``item_idx, b, g``. Nobody can have seen more items than the
-    longest history, so an item that as many others plus ``k`` precede for everyone is left out first.
+    ``users`` has ``user_idx, a``; ``items`` has ``item_idx, b, g``; items without a number are on no list. Who has seen
+    ``h`` items needs none that ``k + h`` others precede for everyone: with a factor ``g`` of 0 or more those with larger ``g``
+    and ``b``, else those with larger ``g`` and smaller ``b`` and all of the first kind. Users are dealt into tiers by ``k + h``,
+    each sixteen times as long as the one before, so one long history lengthens nobody else's list.
     """
-    history = 0
+    asked = users.select("user_idx", F.array(F.col("a").cast("double"), F.lit(1.0)).alias("vec"))
+    level = F.lit(0)
     if seen is not None:
         pairs = seen.select("user_idx", "item_idx").distinct()
-        per_user = pairs.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
-        history = per_user.agg(F.max("n")).first()[0] or 0
-    keep, schema = _undominated(k + history), "item_idx long, b double, g double"
-    near = items.select(F.col("item_idx").cast("long"), F.col("b").cast("double"), F.col("g").cast("double"))
-    # Each task leaves few items; the last one sees only those.
-    short = cut_lineage(near.mapInPandas(keep, schema).repartition(1).mapInPandas(keep, schema))
-    left = users.select("user_idx", F.array(F.col("a").cast("double"), F.lit(1.0)).alias("vec"))
-    right = short.select("item_idx", F.array(F.lit(1.0), "b").alias("vec"), F.col("g").alias("price"))
-    return block_top_k(left, right, seen, k, kind)
+        held = pairs.groupBy("user_idx").agg(F.count(F.lit(1)).alias("__held"))
+        above = F.log((F.coalesce("__held", F.lit(0)) + k) / F.lit(float(tier))) / math.log(TIER_STEP)
+        level = F.greatest(F.ceil(F.round(above, 9)), F.lit(0))
+        asked = asked.join(held, "user_idx", "left")
+    asked = asked.withColumn("__tier", level.cast("int")).select("user_idx", "vec", "__tier")
+    if seen is not None:
+        asked = cut_lineage(asked)
+    # One row for each length, sixteen times the one before.
+    tiers = sorted((r[0] for r in asked.select("__tier").distinct().collect()), reverse=True)
+    left = items.select(F.col("item_idx").cast("long"), F.col("b").cast("double"), F.col("g").cast("double"))
+    left = left.where((F.col("b") < math.inf) & (F.col("b") > -math.inf) & (F.col("g") < math.inf) & (F.col("g") > -math.inf))
+    if not tiers:
+        tiers = [0]
+    lists = []
+    for number in tiers:
+        need = max(tier * TIER_STEP**number, k)
+        first = short_list(left.where("g >= 0"), need, work)
+        room = need - first.count()
+        if room > 0:
+            # All of the first kind are in the list, or more than room.
+            turned = left.where("g < 0").withColumn("b", -F.col("b"))
+            last = short_list(turned, room, work).withColumn("b", -F.col("b"))
+            first = cut_lineage(first.unionByName(last))
+        # What a longer list leaves out no shorter one needs.
+        left = first
+        right = left.select("item_idx", F.array(F.lit(1.0), "b").alias("vec"), F.col("g").alias("price"))
+        theirs = asked.where(F.col("__tier") == number)
+        known = pairs.join(theirs.select("user_idx"), "user_idx", "left_semi") if seen is not None else None
+        lists.append(block_top_k(theirs.select("user_idx", "vec"), right, known, k, kind))
+    return reduce(DataFrame.unionByName, lists)
 
 
 class ScoreRanker(Recommender):

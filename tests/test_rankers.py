@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker, additive_top_k, exact_relevance
+from shelfrank.plans.rankers import LogisticRanker, SvmRanker, TreeRanker, additive_top_k, exact_relevance, short_list
 
 SEGMENTS, CATEGORIES = ["budget", "mainstream", "premium"], ["books", "clothing", "home"]
 
@@ -68,3 +68,45 @@ def test_short_list_with_negative_factors_and_ties(spark):
     for u, a in users:
         scores = sorted((-round(g / (1 + np.exp(-(a + b))), 9), i) for i, b, g in items if (u, i) not in set(seen))[:4]
         assert [r.item_idx for r in sorted(got, key=lambda r: r["rank"]) if r.user_idx == u] == [i for _, i in scores]
+
+
+def test_short_list_keeps_all_that_fewer_beat(spark):
+    rng = random.Random(9)
+    items = [(i, round(rng.gauss(0, 1), 2), float(rng.choice([3.0, rng.randint(0, 40), rng.uniform(0, 40)]))) for i in range(3000)]
+    sizes = []
+    kept = {r.item_idx for r in short_list(spark.createDataFrame(items, "item_idx long, b double, g double"), 20, sizes).collect()}
+    b, g = np.array([x[1] for x in items]), np.array([x[2] for x in items])
+    beaten = ((b[None, :] > b[:, None]) & (g[None, :] > g[:, None])).sum(1)
+    assert {i for i in range(3000) if beaten[i] < 20} <= kept
+    assert sizes[0] == 3000 and sizes[-1] == len(kept) < 900
+
+
+@pytest.mark.parametrize("sign", [1.0, -1.0])
+def test_one_long_history_lengthens_no_other_list(spark, sign):
+    """User 0 has seen nearly the whole catalogue; the others still meet a short list."""
+    rng = random.Random(6)
+    users = [(u, rng.gauss(0, 1)) for u in range(8)]
+    items = [(i, rng.gauss(0, 1), sign * rng.uniform(1, 9)) for i in range(1500)]
+    seen = [(0, i) for i in range(1500) if i % 300] + [(u, i) for u in range(1, 7) for i in rng.sample(range(1500), 3 * u)]
+    sizes = []
+    got = additive_top_k(
+        spark.createDataFrame(users, "user_idx long, a double"),
+        spark.createDataFrame(items + [(9999, None, 5.0), (9998, 1.0, float("nan"))], "item_idx long, b double, g double"),
+        spark.createDataFrame(seen, "user_idx long, item_idx long"),
+        3,
+        tier=32,
+        work=sizes,
+    ).collect()
+    for u, a in users:
+        scores = sorted((-round(g / (1 + np.exp(-(a + b))), 9), i) for i, b, g in items if (u, i) not in set(seen))[:3]
+        assert [r.item_idx for r in sorted(got, key=lambda r: r["rank"]) if r.user_idx == u] == [i for _, i in scores]
+    assert 1500 in sizes and sizes[-1] < 700
+
+
+def test_rankers_with_nobody_or_nothing(spark):
+    users, items = spark.createDataFrame([(1, 0.5)], "user_idx long, a double"), spark.createDataFrame([(1, 0.5, 2.0)], "item_idx long, b double, g double")
+    seen = spark.createDataFrame([(1, 1)], "user_idx long, item_idx long")
+    assert additive_top_k(users, items, seen, 2).isEmpty()
+    assert additive_top_k(users.limit(0), items, seen, 2).isEmpty()
+    assert additive_top_k(users, items.limit(0), seen, 2).isEmpty()
+    assert additive_top_k(users, items, None, 2).count() == 1

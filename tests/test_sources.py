@@ -1,5 +1,6 @@
 """Log store, schemas, transformers, samples and the copula."""
 
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from shelfrank import session, views
 from shelfrank.config import EmptyDataFrameError
 from shelfrank.functions import transformers as t
 from shelfrank.operators import sampling
-from shelfrank.operators.copula import GaussianCopula
+from shelfrank.operators.copula import GaussianCopula, normal_cdf, with_mid_rank
 from shelfrank.sources import schema
 from shelfrank.sources.tables import IterationLog, load_model, load_tables, normalise_log, save_model, save_tables
 
@@ -186,6 +187,39 @@ def test_copula_keeps_margins_and_dependence(spark):
     assert fake[2] == pytest.approx(real[2], abs=0.05)
 
 
+def test_normal_cdf_is_an_expression(spark):
+    import math
+
+    z = [x / 10 for x in range(-80, 81)]
+    made = spark.createDataFrame([(x,) for x in z], "z double").select("z", normal_cdf(F.col("z")).alias("p")).collect()
+    assert max(abs(r.p - 0.5 * (1 + math.erf(r.z / math.sqrt(2)))) for r in made) < 1e-7
+
+
+def test_mid_ranks_with_ties_nulls_and_a_heavy_value(spark):
+    n = F.col("id")
+    table = spark.range(1000).select("id", F.when(n % 3 == 0, 5.0).when(n % 10 == 1, None).otherwise(n % 70).alias("x"))
+    found = {r.id: (r.x, r.r) for r in with_mid_rank(table, "x", "r", limit=40).collect()}
+    values = pd.Series({i: x for i, (x, _) in found.items()}, dtype=float)
+    expected = values.rank(method="average")
+    assert len(found) == 1000
+    for i, (x, r) in found.items():
+        assert (r is None) if x is None else r == expected[i]
+
+
+def test_copula_runs_without_python_and_keeps_rank_correlations(spark):
+    from shelfrank.functions import chance
+
+    x, y = chance.normal(5, "id"), chance.normal(6, "id")
+    table = spark.range(8000).select("id", F.exp(x).alias("a"), F.round(x - 2 * y, 1).alias("b"), (y * y * y).alias("c"))
+    table = table.withColumn("b", F.when(F.col("id") % 50 != 0, F.col("b"))).withColumn("d", F.lit(None).cast("double"))
+    made = GaussianCopula(["a", "b", "c", "d"]).fit(table).generate(table, ["id"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    real, fake = (df.select("a", "b", "c").toPandas().corr(method="spearman") for df in (table, made))
+    assert (real - fake).abs().to_numpy().max() < 0.02
+    assert made.where("d is not null").isEmpty()
+
+
 def test_late_events_are_dropped_and_batches_repeat_safely(spark, tmp_path):
     from datetime import datetime
 
