@@ -4,14 +4,15 @@ All feature columns found by prefix enter the models with their own values. Line
 are additive: the probability rises with ``a + b``, one number per user and one per item, and the
 relevance is a rising positive function of it times a factor of the item. An item that enough
 others beat in both numbers can be on nobody's list, so only a short list of items is scored per user. A
-tree sees a user only through its own thresholds: users between the same thresholds share one ranked catalogue.
+tree is taken apart into what its leaves ask of the user and of the item: the catalogue is ranked once for each thing it can
+ask of a user.
 """
 
 from __future__ import annotations
 
 import math
-import re
 import sys
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -20,20 +21,19 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.config import DEFAULTS, NotFittedError
 from shelfrank.functions.scalars import feature_columns, price_response_relevance
 from shelfrank.operators.blocks import block_top_k
-from shelfrank.operators.ordinal import cut_along, rank_by_score
+from shelfrank.operators.ordinal import cut_along, rank_by_score, top_ranked
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
-from shelfrank.session import cut_lineage
+from shelfrank.session import cut_lineage, new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ITEMS_PER_BLOCK = 16_384
 GRID = 128  # a range of the grid holds at most this part of the items, or one value
 TIER, TIER_STEP = 256, 16
 USER_PREFIX, ITEM_PREFIX = "user_attr_", "item_attr_"
@@ -298,11 +298,51 @@ class SvmRanker(AdditiveRanker):
         return F.log1p("price") * F.cos(F.col("price") / 100)
 
 
+@dataclass(frozen=True)
+class Range:
+    """What a path through the tree asks of one feature: not at most ``low``, at most ``high``, one of ``among``."""
+
+    feature: int
+    low: float | None = None
+    high: float | None = None
+    among: tuple[float, ...] | None = None
+
+    def holds(self, value: Column) -> Column:
+        """Missing values are not at most anything, as NaN is for the tree."""
+        met = F.lit(True)
+        if self.low is not None:
+            met = met & ~F.coalesce(value <= self.low, F.lit(False))
+        if self.high is not None:
+            met = met & F.coalesce(value <= self.high, F.lit(False))
+        if self.among is not None:
+            met = met & F.coalesce(value.isin(*self.among), F.lit(False)) if self.among else F.lit(False)
+        return met
+
+    def cut(self, split, left: bool) -> "Range":
+        """Narrowed by one split of the tree."""
+        values = split["leftCategoriesOrThreshold"]
+        if split["numCategories"] < 0:
+            (at,) = values
+            if left:
+                return replace(self, high=at if self.high is None else min(at, self.high))
+            return replace(self, low=at if self.low is None else max(at, self.low))
+        before = range(split["numCategories"]) if self.among is None else self.among
+        return replace(self, among=tuple(float(v) for v in before if (v in values) == left))
+
+
+@dataclass(frozen=True)
+class Leaf:
+    ranges: tuple[Range, ...]
+    probability: float
+
+
 class TreeRanker(ScoreRanker):
     """Decision tree. MLlib has no cost-complexity pruning.
 
-    Users in the same segment and between the same thresholds of the tree get the same scores:
-    each such class has one ranked catalogue, and each user takes the first unseen items of it.
+    A leaf asks something of the user and something of the item. Leaves that ask the same of the user are one path:
+    its items are ranked once, each under the one leaf it can reach there. A user follows few paths, and every item
+    is on exactly one of them for that user, so the best of all are among the first unseen items of each. No table of classes of
+    users times items is made: an item is ranked at most once for each leaf.
     """
 
     def __init__(self, max_depth: int = 5, min_leaf: int = 1, seed: int = DEFAULTS.seed):
@@ -312,42 +352,82 @@ class TreeRanker(ScoreRanker):
     def estimators(self, rows: int) -> list:
         return [DecisionTreeClassifier(maxDepth=self.max_depth, minInstancesPerNode=self.min_leaf, seed=self.seed)]
 
-    def thresholds(self) -> list[list[float]]:
-        """Per user attribute, the values at which the tree splits it."""
-        segments, categories = self.fitted().stages[0].labelsArray
-        first = len(segments) + len(categories) + 2
-        text = self.fitted().stages[-1].toDebugString
-        found: list[set[float]] = [set() for _ in self.own]
-        for number, value in re.findall(r"feature (\d+) <= (-?[0-9.]+(?:E-?\d+)?)", text):
-            if 0 <= int(number) - first < len(self.own):
-                found[int(number) - first].add(float(value))
-        return [sorted(values) for values in found]
-
-    def with_class(self, users: DataFrame) -> DataFrame:
-        """Attributes replaced by one value between the same thresholds: the upper one, or above all."""
-        for name, cuts in zip(self.own, self.thresholds(), strict=True):
-            value = F.lit((cuts[-1] + 1.0 + abs(cuts[-1])) if cuts else 0.0)
-            for cut in reversed(cuts):
-                value = F.when(F.col(name) <= cut, cut).otherwise(value)
-            users = users.withColumn(name, value)
-        return users
+    def leaves(self) -> list[Leaf]:
+        """Leaves with what their paths ask, from the table of nodes that a saved tree has (at most 2 ** (max_depth + 1))."""
+        spark = SparkSession.active()
+        folder = new_folder(spark, "tree")
+        self.fitted().stages[-1].write().save(folder)
+        nodes = {n["id"]: n for n in spark.read.parquet(f"{folder}/data").collect()}
+        found, open_ = [], [(0, {})]
+        while open_:
+            at, asked = open_.pop()
+            node = nodes[at]
+            if node["leftChild"] < 0:
+                stats = node["impurityStats"]
+                share = stats[1] / sum(stats) if sum(stats) and len(stats) > 1 else 0.0
+                found.append(Leaf(tuple(asked[f] for f in sorted(asked)), share))
+                continue
+            split = node["split"]
+            feature = split["featureIndex"]
+            before = asked.get(feature, Range(feature))
+            for child, left in ((node["leftChild"], True), (node["rightChild"], False)):
+                open_.append((child, {**asked, feature: before.cut(split, left)}))
+        return found
+
+    def features(self) -> tuple[list[Column], set[int]]:
+        """Each feature as an expression of its table's columns, and which are the user's."""
+        labels, scaler = self.fitted().stages[0].labelsArray, self.fitted().stages[3]
+        found: list[Column] = []
+        mine: set[int] = set()
+        for name, known in zip(("segment", "category"), labels, strict=True):
+            other = ~F.coalesce(F.col(name).isin(*known), F.lit(False))
+            tests = [*(F.coalesce(F.col(name) == label, F.lit(False)) for label in known), other]
+            if name == "segment":
+                mine.update(range(len(tests)))
+            found += [test.cast("double") for test in tests]
+        mine.update(range(len(found), len(found) + len(self.own)))
+        spread = float(scaler.std[0])
+        price = (F.col("price") - float(scaler.mean[0])) * (1.0 / spread if spread else 0.0)
+        return [*found, *(F.col(c).cast("double") for c in (*self.own, *self.theirs)), price], mine
+
+    def paths(self, users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``user_idx, paths`` and ``item_idx, price, leaves`` with structs of ``path`` and ``probability``."""
+        values, mine = self.features()
+        by_path: dict[tuple[Range, ...], list[Leaf]] = {}
+        for leaf in self.leaves():
+            by_path.setdefault(tuple(r for r in leaf.ranges if r.feature in mine), []).append(leaf)
+
+        def all_hold(ranges) -> Column:
+            return reduce(Column.__and__, [r.holds(values[r.feature]) for r in ranges], F.lit(True))
+
+        followed = [F.when(all_hold(path), F.lit(at)) for at, path in enumerate(by_path)]
+        offered = []
+        for at, leaves in enumerate(by_path.values()):
+            share = F.lit(None).cast("double")
+            for leaf in leaves:
+                theirs = [r for r in leaf.ranges if r.feature not in mine]
+                share = F.when(all_hold(theirs), F.lit(round(leaf.probability, 9))).otherwise(share)
+            offered.append(F.struct(F.lit(at).alias("path"), share.alias("probability")))
+        return users.select("user_idx", F.array_compact(F.array(*followed)).alias("paths")), items.select(
+            "item_idx", "price", F.filter(F.array(*offered), lambda x: x["probability"].isNotNull()).alias("leaves")
+        )
 
     def predict(self, log, k, users, items, filter_seen=True):
-        by = ["segment", *self.own]
-        asked = self.with_class(users).select("user_idx", *by)
-        classes = asked.select(*by).distinct()
+        follow, offer = self.paths(users, items)
         n_items = items.count()
-        blocks = max(64, n_items // ITEMS_PER_BLOCK)
-        block = F.pmod(F.xxhash64("item_idx"), F.lit(blocks)).cast("int")
-        spread = classes.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        pairs = items.select("item_idx", "category", *self.theirs, "price", block.alias("__block")).join(spread, "__block")
-        probability = F.round(vector_to_array("probability")[1], 9)
-        scored = self.fitted().transform(pairs).select(*by, "item_idx", "price", probability.alias("probability"))
+        scored = offer.select("item_idx", "price", F.inline("leaves"))
         scored = scored.withColumn("relevance", F.round(F.col("probability") * F.col("price"), 6))
         # Read twice below: to place what was seen and to look the picks up.
-        ranked = cut_lineage(rank_by_score(scored, by, "relevance", at_most=n_items))
-        picks = unseen_at(asked, ranked, log if filter_seen else None, k, by=by, catalogue=n_items)
-        return picks.withColumnRenamed("nth", "rank").select(RECS + ["probability"])
+        ranked = cut_lineage(rank_by_score(scored, ["path"], "relevance", at_most=n_items))
+        seen = None
+        if filter_seen:
+            both = log.select("user_idx", "item_idx").distinct().join(follow, "user_idx").join(offer, "item_idx")
+            path = F.get(F.array_intersect("paths", F.col("leaves.path")), F.lit(0))
+            seen = both.select("user_idx", "item_idx", path.alias("path"))
+        asked = follow.select("user_idx", F.explode("paths").alias("path"))
+        heads = unseen_at(asked, ranked, seen, k, by=["path"], who=["user_idx", "path"], catalogue=n_items)
+        best = top_ranked(heads.drop("path", "nth"), "user_idx", [F.col("relevance").desc(), F.col("item_idx")], k)
+        return best.select(RECS + ["probability"])
 
 
 def exact_relevance(ranker: ScoreRanker, probability: Column, price: Column) -> Column:

@@ -110,3 +110,34 @@ def test_rankers_with_nobody_or_nothing(spark):
     assert additive_top_k(users.limit(0), items, seen, 2).isEmpty()
     assert additive_top_k(users, items.limit(0), seen, 2).isEmpty()
     assert additive_top_k(users, items, None, 2).count() == 1
+
+
+def test_tree_is_taken_apart_into_paths_of_users_and_leaves_of_items(tables):
+    log, users, items = (t.cache() for t in tables)
+    ranker = TreeRanker().fit(log, users, items)
+    follow, offer = (t.toPandas() for t in ranker.paths(users, items))
+    leaves = ranker.leaves()
+    tree = ranker.model.stages[-1]
+    assert len(leaves) == (tree.numNodes + 1) // 2
+    # For every pair exactly one path is followed and offered.
+    for theirs in offer.leaves[:40]:
+        for mine in follow.paths:
+            assert len(set(mine) & {leaf["path"] for leaf in theirs}) == 1
+    assert sum(len(x) for x in offer.leaves) <= len(leaves) * 300
+    rows = ranker.model.transform(users.crossJoin(items.limit(7)))
+    p = {(r.user_idx, r.item_idx): float(r.probability[1]) for r in rows.select("user_idx", "item_idx", "probability").collect()}
+    paths, offered = dict(zip(follow.user_idx, follow.paths)), dict(zip(offer.item_idx, offer.leaves))
+    for (u, i), expected in p.items():
+        (found,) = [leaf["probability"] for leaf in offered[i] if leaf["path"] in set(paths[u])]
+        assert found == pytest.approx(expected, abs=1e-9)
+
+
+def test_tree_with_missing_values_and_unknown_labels(spark, tables):
+    log, users, items = tables
+    ranker = TreeRanker().fit(log, users, items)
+    odd = spark.createDataFrame(
+        [(900, None, None, 0.1, 0.2), (901, "other", float("nan"), None, 0.0)], users.schema
+    )
+    got = ranker.predict(log, 4, users.unionByName(odd), items, True)
+    assert got.where("user_idx >= 900").count() == 8
+    assert ranker.predict(log.limit(0), 4, odd, items.limit(0), True).isEmpty()
