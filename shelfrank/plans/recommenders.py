@@ -16,6 +16,7 @@ from shelfrank.config import DEFAULTS, NotFittedError
 from shelfrank.functions import chance
 from shelfrank.operators import graph, neighbours, ngram
 from shelfrank.operators.blocks import block_top_k
+from shelfrank.operators.embedding import walk_vectors
 from shelfrank.operators.ordinal import global_rank, rank_by_score, top_ranked
 from shelfrank.operators.sampling import item_slots
 from shelfrank.operators.sequences import last_n
@@ -464,11 +465,9 @@ class Ngram(Recommender):
 
 
 class WalkEmbedding(Recommender):
-    """Skip-gram embedding of random walks; ranks by ``sigmoid(cosine) * price``.
+    """Embedding of random walks (factorised windows, see ``operators/embedding.py``); ranks by ``sigmoid(cosine) * price``.
 
     Items without a vector count as the zero vector. Users outside the graph get no rows.
-    MLlib keeps the node vocabulary on the driver while it trains: one vector per
-    distinct user and item, not per interaction.
     """
 
     def __init__(
@@ -479,34 +478,17 @@ class WalkEmbedding(Recommender):
         window: int = DEFAULTS.window_size,
         epochs: int = DEFAULTS.epochs,
         seed: int = DEFAULTS.seed,
-        partitions: int = 8,
     ):
-        # The embedding depends on the number of training partitions, so it is not that of the cores.
-        self.walk_length, self.walks_per_node, self.partitions = walk_length, walks_per_node, partitions
+        self.walk_length, self.walks_per_node = walk_length, walks_per_node
         self.dim, self.window, self.epochs, self.seed = dim, window, epochs, seed
         self.user_vectors: DataFrame | None = None
         self.item_vectors: DataFrame | None = None
 
     def fit(self, log, users=None, items=None):
-        from pyspark.ml.feature import Word2Vec
-        from pyspark.ml.functions import vector_to_array
-
         table = cut_lineage(graph.edges(log))
         offset = graph.item_offset(log)
         walks = graph.random_walks(table, self.walk_length, self.walks_per_node, self.seed)
-        sentences = walks.select(F.transform("path", lambda n: n.cast("string")).alias("walk"))
-        trainer = Word2Vec(
-            vectorSize=self.dim,
-            windowSize=self.window,
-            maxIter=self.epochs,
-            minCount=0,
-            seed=self.seed,
-            numPartitions=self.partitions,
-            inputCol="walk",
-            outputCol="unused",
-        )
-        vectors = trainer.fit(sentences).getVectors()
-        nodes = vectors.select(F.col("word").cast("long").alias("node"), vector_to_array("vector").alias("vec"))
+        nodes = walk_vectors(walks, self.dim, self.window, self.epochs, self.seed)
         self.user_vectors = nodes.where(F.col("node") < offset).select(F.col("node").alias("user_idx"), "vec")
         self.item_vectors = nodes.where(F.col("node") >= offset).select(
             (F.col("node") - offset).alias("item_idx"), "vec"

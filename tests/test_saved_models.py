@@ -36,7 +36,7 @@ MODELS = {
     "hybrid": lambda v: r.Hybrid([r.Popularity(), r.UCB()], [3, 1]),
     "knn": lambda v: r.SequenceKnn("temporal"),
     "ngram": lambda v: r.Ngram(2),
-    "walks": lambda v: r.WalkEmbedding(walks_per_node=2, partitions=1),
+    "walks": lambda v: r.WalkEmbedding(walks_per_node=2),
     "propagation": lambda v: r.GraphPropagation(v.select("item_idx", "vec"), width(v)),
     "als": lambda v: r.Als(),
     "logistic": lambda v: rankers.LogisticRanker(max_iter=5),
