@@ -1,7 +1,7 @@
 """Canonical recommendation tables on top of the star-schema Parquet files.
 
 Every view projects the few columns it needs, so the Parquet scans read only those.
-``lineitem`` holds no full-row duplicates, hence ``interactions`` needs no ``distinct``.
+``interactions`` drops full-row duplicates of its lines only when asked: that is a shuffle of the fact table.
 """
 
 from __future__ import annotations
@@ -37,10 +37,13 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def interactions(spark: SparkSession, folder: str) -> DataFrame:
+def interactions(spark: SparkSession, folder: str, deduplicate: bool = False) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag"
     )
+    if deduplicate:
+        # Before the join: equal lines belong to one order.
+        lines = lines.distinct()
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     bought = F.when(F.col("l_returnflag") != "R", 1).otherwise(0)
     year_no = F.year("o_orderdate") - F.lit(FIRST_YEAR)

@@ -187,6 +187,14 @@ def test_copula_keeps_margins_and_dependence(spark):
     assert fake[2] == pytest.approx(real[2], abs=0.05)
 
 
+def test_interactions_without_repeated_rows(spark, small, tmp_path):
+    lines = views.table(spark, small, "lineitem").limit(50)
+    lines.unionByName(lines.limit(9)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    views.table(spark, small, "orders").write.parquet(str(tmp_path / "orders.parquet"))
+    assert views.interactions(spark, str(tmp_path)).count() == 59
+    assert views.interactions(spark, str(tmp_path), deduplicate=True).count() == 50
+
+
 def test_normal_cdf_is_an_expression(spark):
     import math
 
