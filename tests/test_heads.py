@@ -67,3 +67,24 @@ def test_ranking_metrics_read_their_rows_once(spark):
     assert row.precision_at_k == pytest.approx((0.5 + 1.0) / 2)
     assert row.discounted_revenue == pytest.approx(5.0 / 2 + 3.0 * second)
     assert row.revenue == pytest.approx(11.0)
+
+
+@pytest.mark.parametrize("shared,copied", [(2, 32 * 3 + 3), (100, 6)])
+def test_only_shared_rankings_are_copied(spark, monkeypatch, shared, copied):
+    """Users 0 to 4 ask ranking a, user 5 ranking b; copies change the work, not the lists."""
+    monkeypatch.setattr(unseen, "SHARED", shared)
+    users = spark.createDataFrame([(u, "a") for u in range(5)] + [(5, "b")], "user_idx long, ctx string")
+    ranked = spark.createDataFrame([(c, i, n + 1) for c in "ab" for n, i in enumerate((7, 8, 9))], "ctx string, item_idx long, rank long")
+    seen = spark.createDataFrame([(0, 7), (5, 8), (5, 7)], "user_idx long, item_idx long")
+    rows, plain = [], unseen._spread_lookup
+
+    def watched(picked, ranked, keys, by, hot):
+        flagged = ranked.join(hot, by, "left")
+        rows.append(flagged.agg(F.sum(F.when(F.col("__hot"), 32).otherwise(1))).first()[0])
+        return plain(picked, ranked, keys, by, hot)
+
+    monkeypatch.setattr(unseen, "_spread_lookup", watched)
+    got = unseen.unseen_at(users, ranked, seen, 2, by=["ctx"], catalogue=3)
+    want = {(0, 1, 8), (0, 2, 9), (5, 1, 9)} | {(u, n, 6 + n) for u in range(1, 5) for n in (1, 2)}
+    assert {(r.user_idx, r.nth, r.item_idx) for r in got.collect()} == want
+    assert rows == [copied]
