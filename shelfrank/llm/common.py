@@ -8,6 +8,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text handled at once inside a task; a longer document is handled alone.
 SLICE_BYTES = 1 << 21
+# The same where a dozen arrays of eight bytes for each of text stand beside it, and rows of a batch of such texts.
+SMALL_SLICE, SMALL_BATCH = 1 << 19, 1000
 # Fixed odd multipliers of the hashes (arbitrary, but results of earlier runs depend on them).
 _BASE = 0x9E3779B97F4A7C15
 _MIX_1 = 0xBF58476D1CE4E5B9
@@ -43,6 +46,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """What is written inside goes to Python ``SMALL_BATCH`` rows at a time, if not fewer: a task then holds some MB of texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) < SMALL_BATCH:
+        spark.conf.set(name, str(SMALL_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # Rows of a two-column list up to which it is sent to all tasks (some MB); longer ones are shuffled.
 LISTED = 300_000
 
@@ -113,7 +129,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_BASE**i`` and its inverse modulo 2**64, for i up to n."""
     held = worker_store("powers", dict)
     if held.get("n", -1) < n:
-        size = max(n, SLICE_BYTES) + 1
+        size = max(n, 2 * held.get("n", 0), SMALL_SLICE) + 1
         inverse = pow(_BASE, -1, 1 << 64)
         for key, base in (("up", _BASE), ("down", inverse)):
             steps = np.full(size, base, np.uint64)

@@ -8,7 +8,9 @@ the full sets, and linked sets form components.
 
 Nothing lists all pairs of a bucket. Equal sets are one node. Each node is first compared with its
 most similar bucket hub, then with its other hubs, and last, where a bucket still holds several components,
-the nodes outside its largest component are compared with the rest, sketch first, inside the join.
+the nodes outside its largest component are compared with the rest, sketch first, inside the join: once
+by a limit that most similar pairs keep, and only what that leaves apart by the full one. A pair is
+told in one of its buckets only.
 """
 
 from __future__ import annotations
@@ -25,12 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrank.llm.common import (
+    SMALL_SLICE,
     SPACE_WORDS,
     Words,
     components,
     listed,
     mixed,
     run_hash,
+    small_batches,
     table,
     text_slices,
     written,
@@ -44,6 +48,8 @@ SAMPLES = 512
 SKETCH_BITS = 2048
 # Standard deviations of the samples below the threshold at which a sketch still passes.
 MARGIN = 4.5
+# The same for the rounds of what hubs leave apart; the last one decides.
+MARGINS = (0.0, MARGIN)
 SEED = 20_24
 
 
@@ -98,14 +104,14 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(n, SKETCH_BITS), axis=1).view(np.int64)
 
 
-def sketch_limit(similarity: float) -> int:
-    """Most differing bits of two sketches that may still reach the similarity."""
+def sketch_limit(similarity: float, margin: float = MARGIN) -> int:
+    """Most differing bits of two sketches that may still reach the similarity; without a margin half of those that just do."""
     spread = math.sqrt(similarity * (1 - similarity) / SAMPLES)
-    least = max(0.0, similarity - MARGIN * spread)
+    least = max(0.0, similarity - margin * spread)
     flips = 2 * SAMPLES * (1 - least)
     expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** flips)
     # Flips that meet in one bit undo each other; their number varies as well.
-    return math.ceil(expected + 3 * flips * math.sqrt(2 / SKETCH_BITS))
+    return math.ceil(expected + 3 * margin / MARGIN * flips * math.sqrt(2 / SKETCH_BITS))
 
 
 def _set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -119,7 +125,7 @@ def _set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SMALL_SLICE):
             values, sizes = shingle_sets(part.column("text"), words)
             filled = sizes > 0
             n = int(filled.sum())
@@ -142,7 +148,7 @@ def _fingerprints(words: int):
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SMALL_SLICE):
             values, sizes = shingle_sets(part.column("text"), words)
             ends = np.cumsum(sizes)
             filled = np.flatnonzero(sizes)
@@ -215,13 +221,15 @@ class NearDuplicates:
         best = edges.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
         links = written(self.confirmed(best), "links")
         roots = written(components(links), "roots")
-        more = written(self.confirmed(self.apart(edges.select("a", "b"), roots)), "links")
-        links = links.unionByName(more)
-        roots = written(components(links), "roots")
-        rest = written(self.rest(shared, roots), "rest")
-        self.add_sets(rest)
-        more = written(self.confirmed(rest), "links")
-        return components(links.unionByName(more))
+        open_edges, above = self.apart(edges.select("a", "b"), roots), -1
+        for margin in MARGINS:
+            limit = sketch_limit(self.percent / 100, margin)
+            rest = written(self.rest(shared, roots, above, limit).unionByName(open_edges), "rest")
+            self.add_sets(rest)
+            links = links.unionByName(written(self.confirmed(rest), "links"))
+            roots = written(components(links), "roots")
+            open_edges, above = open_edges.limit(0), limit
+        return roots
 
     def close_pairs(self, edges: DataFrame) -> DataFrame:
         """Pairs ``a, b`` whose sketches differ in few enough bits, with their number."""
@@ -243,8 +251,9 @@ class NearDuplicates:
         both = self.labelled(self.labelled(edges, roots, "a", "ra"), roots, "b", "rb")
         return both.where("ra != rb").select("a", "b")
 
-    def rest(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of one bucket and different components whose sizes and sketches are close.
+    def rest(self, shared: DataFrame, roots: DataFrame, above: int, limit: int) -> DataFrame:
+        """Pairs of one bucket and different components whose sizes are close and whose sketches differ in more than
+        ``above``, at most ``limit`` bits. Pairs with fewer have been compared while their components were smaller.
 
         Sets this similar differ in size by at most the threshold: their size classes, in steps
         of it, are equal or neighbours.
@@ -257,15 +266,18 @@ class NearDuplicates:
             .where("roots > 1").select("bucket", "largest")
         )
         size = F.floor(F.log("n_shingles") / math.log(100 / self.percent)).cast("int").alias("size")
-        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", size, "sketch"), "node")
+        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", size, "sketch", "bands"), "node")
         held = written(held, "mixed")
         around = F.explode(F.array([F.col("size") + d for d in (-1, 0, 1)])).alias("size")
-        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", around).alias("x")
-        close = self.close(F.col("x.sketch"), F.col("y.sketch"))
+        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", "bands", around).alias("x")
+        bits = differing_bits(F.col("x.sketch"), F.col("y.sketch"))
+        close = bits <= limit if above < 0 else bits.between(above + 1, limit)
+        # Both stand in all of their common buckets.
+        first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket")
         # Both outside the largest component: each pair once.
         once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
         same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.size") == F.col("y.size"))
-        on = same & (F.col("x.root") != F.col("y.root")) & once & close
+        on = same & (F.col("x.root") != F.col("y.root")) & once & close & first
         return minor.join(held.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
     def add_sets(self, pairs: DataFrame) -> None:
@@ -300,7 +312,8 @@ def near_duplicates(
     white texts are linked with nothing and stay. Repeated rows give repeated rows. A null id
     is passed over as smallest id; such a row stays only if its whole component has none.
     """
-    found = _decided(NearDuplicates(docs, words, percent, id_col, text_col))
+    with small_batches(docs.sparkSession):
+        found = _decided(NearDuplicates(docs, words, percent, id_col, text_col))
     return found.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
@@ -321,7 +334,8 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     Rows go by id and text: of rows that share an id, also none, only those that are near copies. Names of
     other columns do not matter.
     """
-    found = _decided(NearDuplicates(docs, words, percent, "doc_id", "text", F.unhex(F.md5("text"))))
+    with small_batches(docs.sparkSession):
+        found = _decided(NearDuplicates(docs, words, percent, "doc_id", "text", F.unhex(F.md5("text"))))
     dropped = found.where(~F.col("kept")).select("id", "mark").distinct()
     held = docs.select(F.struct("*").alias("doc"))
     same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & F.unhex(F.md5("doc.text")).eqNullSafe(F.col("mark"))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import ascii_words, no_documents, odd_documents
+from pyspark.sql import functions as F
 
 from shelfrank.llm import near_dedup
 from shelfrank.llm.common import components
@@ -119,3 +120,20 @@ def test_clashing_names(spark):
     assert {tuple(r)[3:] for r in found.collect()} == {(1, 2, 3, 4, 5, 6)}
     plain = without_near_duplicates(odd_documents(spark))
     assert sorted(map(repr, found.select("doc_id", "text", "source").collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_rounds_by_sketch_part_the_pairs(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    table = [(i, edited(rng, base, rng.randint(2, 12))) for i in range(60)]
+    job = near_dedup.NearDuplicates(spark.createDataFrame(table, "doc_id long, text string"), 3, 85, "doc_id", "text")
+    shared = job.nodes.select("node", F.explode("bands").alias("bucket"))
+    none = job.nodes.select("node", F.col("node").alias("root")).limit(0)
+    tight, full = near_dedup.sketch_limit(0.85, 0.0), near_dedup.sketch_limit(0.85)
+
+    def pairs(above, limit):
+        return {frozenset((bytes(r.a), bytes(r.b))) for r in job.rest(shared, none, above, limit).collect()}
+
+    first, last = pairs(-1, tight), pairs(tight, full)
+    assert tight < full and first and last and not first & last
+    assert first | last == pairs(-1, full)
