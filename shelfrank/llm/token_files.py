@@ -23,7 +23,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfrank.llm.chunks import ChunkTable, spans
+from shelfrank.llm.chunks import ChunkTable
 from shelfrank.llm.common import table, text_slices, worker_store, written
 from shelfrank.llm.registry import query
 from shelfrank.session import new_folder
@@ -44,6 +44,8 @@ CODE = "<IIQ"
 MARK = "\x01"
 # ASCII punctuation that often closes a word.
 CLOSING = ".,;:!?|"
+# Words, and pieces of them that outlast the words, that one worker remembers.
+WORDS, PIECES = 500_000, 700_000
 
 
 class EliasFano:
@@ -150,7 +152,8 @@ class WordCoder:
         self.mark = self._ids([MARK])[0]
         if len(self.mark) != 1:
             raise ValueError("the vocabulary has no single id for the mark")
-        self.table = ChunkTable(self.encode_words)
+        self.table = ChunkTable(self.encode_words, WORDS)
+        self.pieces = ChunkTable(self.encode_pieces, PIECES)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -158,27 +161,17 @@ class WordCoder:
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words. Closing punctuation behind letters and digits is a piece of its own for the
         tokenizer too, and ASCII letters are lowered there: such words share their core."""
-        pieces: dict[str, int] = {}
-        parts, counts = [], []
+        rows = []
         for word in words:
             text = word.decode()
             core = text.rstrip(CLOSING)
             lowered = core.lower() if core.isascii() else unicodedata.normalize("NFC", core).lower()
             if lowered.isalnum():
-                parts.append(pieces.setdefault(lowered if core.isascii() else core, len(pieces)))
-                if len(core) < len(text):
-                    parts.append(pieces.setdefault(text[len(core) :], len(pieces)))
-                    counts.append(2)
-                    continue
+                piece = lowered if core.isascii() else core
+                rows.append([piece, text[len(core) :]] if len(core) < len(text) else [piece])
             else:
-                parts.append(pieces.setdefault(text, len(pieces)))
-            counts.append(1)
-        ids, lengths = self.encode_pieces(list(pieces))
-        at = np.array(parts, np.int64)
-        ends = np.cumsum(lengths)
-        flat = ids[spans(ends[at] - lengths[at], lengths[at])] if len(at) else ids
-        first = np.cumsum(counts) - counts
-        return flat, np.add.reduceat(lengths[at], first) if len(at) else lengths
+                rows.append([text])
+        return self.pieces.tokens(rows)
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out: list = [None] * len(pieces)

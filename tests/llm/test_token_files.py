@@ -68,3 +68,15 @@ def test_odd_rows(spark, tmp_path):
     assert got == expected(table)
     write_token_files(no_documents(spark), tokenizer_path(), str(tmp_path / "none"))
     assert token_table(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_pieces_of_known_words_are_not_encoded_again():
+    with open(token_files.tokenizer_path(), encoding="utf-8") as file:
+        coder = token_files.WordCoder(file.read())
+    plain, asked = coder.tokenizer.encode, []
+    encode = coder._ids
+    coder._ids = lambda texts: asked.append(texts) or encode(texts)
+    for text in ("Word stone", "word, STONE. word stone", "stone,"):
+        ids, counts = coder.table.tokens([text.encode().split()])
+        assert ids.tolist() == plain(text, add_special_tokens=False).ids and counts.sum() == len(ids)
+    assert " ".join(t for texts in asked for t in texts).split().count("stone") == 1
