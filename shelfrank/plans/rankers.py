@@ -30,7 +30,7 @@ from shelfrank.operators.blocks import block_top_k
 from shelfrank.operators.ordinal import cut_along, rank_by_score, top_ranked
 from shelfrank.operators.unseen import unseen_at
 from shelfrank.plans.recommenders import RECS, Recommender
-from shelfrank.session import cut_lineage, new_folder
+from shelfrank.session import cut_lineage, joined, new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,11 +42,8 @@ USER_PREFIX, ITEM_PREFIX = "user_attr_", "item_attr_"
 def training_table(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Log rows with all features of both sides, projected before the joins."""
     own, theirs = feature_columns(users, USER_PREFIX), feature_columns(items, ITEM_PREFIX)
-    return (
-        log.select("user_idx", "item_idx", "response")
-        .join(items.select("item_idx", "category", *theirs, "price"), "item_idx")
-        .join(users.select("user_idx", "segment", *own), "user_idx")
-    )
+    rows = joined(log.select("user_idx", "item_idx", "response"), items.select("item_idx", "category", *theirs, "price"), "item_idx")
+    return joined(rows, users.select("user_idx", "segment", *own), "user_idx")
 
 
 def feature_stages(own: list[str], theirs: list[str]) -> list:
@@ -245,7 +242,7 @@ class AdditiveRanker(ScoreRanker):
         left, right = self.sides(users, items)
         best = additive_top_k(left, right, log if filter_seen else None, k, self.kind)
         probability = F.round(1 / (1 + F.exp(-(F.col("a") + F.col("b")))), 9).alias("probability")
-        return best.join(left, "user_idx").join(right, "item_idx").select(*RECS, probability)
+        return joined(joined(best, left, "user_idx"), right, "item_idx").select(*RECS, probability)
 
 
 class LogisticRanker(AdditiveRanker):
@@ -421,7 +418,7 @@ class TreeRanker(ScoreRanker):
         ranked = cut_lineage(rank_by_score(scored, ["path"], "relevance", at_most=n_items))
         seen = None
         if filter_seen:
-            both = log.select("user_idx", "item_idx").distinct().join(follow, "user_idx").join(offer, "item_idx")
+            both = joined(joined(log.select("user_idx", "item_idx").distinct(), follow, "user_idx"), offer, "item_idx")
             path = F.get(F.array_intersect("paths", F.col("leaves.path")), F.lit(0))
             seen = both.select("user_idx", "item_idx", path.alias("path"))
         asked = follow.select("user_idx", F.explode("paths").alias("path"))

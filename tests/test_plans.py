@@ -61,3 +61,15 @@ def test_scans_read_the_needed_columns_only(spark, small):
 def test_filters_reach_the_scan(spark, small):
     plan = plan_of(views.users(spark, small).where("segment = 'BUILDING'"))
     assert "EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+def test_long_tables_of_features_are_not_broadcast(spark, small, monkeypatch):
+    """Spark's estimate is of compressed columns; a counted table above the limit stays off the driver."""
+    from shelfrank import session, views
+    from shelfrank.plans.rankers import training_table
+
+    monkeypatch.setattr(session, "LISTED", 10)
+    sides = views.users(spark, small), views.items(spark, small)
+    plan = training_table(views.interactions(spark, small).where("iter_no = 0").checkpoint(), *sides)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
