@@ -47,12 +47,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession):
-    """What is written inside goes to Python ``SMALL_BATCH`` rows at a time, if not fewer: a task then holds some MB of texts."""
+def small_batches(spark: SparkSession, most: int = SMALL_BATCH):
+    """What is written inside goes to Python ``most`` rows at a time, if not fewer: a task then holds some MB of texts."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    if not 0 < int(before) < SMALL_BATCH:
-        spark.conf.set(name, str(SMALL_BATCH))
+    if not 0 < int(before) < most:
+        spark.conf.set(name, str(most))
     try:
         yield
     finally:
@@ -216,7 +216,6 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     """
     low, high = F.least(left, right), F.greatest(left, right)
     now = written(edges.where(F.col(left) != F.col(right)).select(high.alias("u"), low.alias("v")).distinct(), "edges")
-    mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -225,10 +224,11 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        # Done when every node hangs once, on one that hangs on none.
+        ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up")).unionByName(now.select(F.col("v").alias("n"), F.lit(0).alias("up")))
+        of = ends.groupBy("n").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+        if of.where("ups > 1 OR ups = 1 AND least = 0").isEmpty():
             break
-        mark = seen
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -8,9 +8,11 @@ the full sets, and linked sets form components.
 
 Nothing lists all pairs of a bucket. Equal sets are one node. Each node is first compared with its
 most similar bucket hub, then with its other hubs, and last, where a bucket still holds several components,
-the nodes outside its largest component are compared with the rest, sketch first, inside the join: once
-by a limit that most similar pairs keep, and only what that leaves apart by the full one. A pair is
-told in one of its buckets only.
+the nodes outside its largest component are compared with the rest, sketch first. A pair is told in one of its buckets only.
+
+In long buckets the shingles that one node alone has are counted before that. They are in no intersection, which bounds
+the similarity of every pair from above: what cannot reach the threshold is not compared. The node with the smallest share
+of them stands in the middle of its bucket and is one more hub. The rest of a long bucket is compared block by block.
 """
 
 from __future__ import annotations
@@ -48,9 +50,14 @@ SAMPLES = 512
 SKETCH_BITS = 2048
 # Standard deviations of the samples below the threshold at which a sketch still passes.
 MARGIN = 4.5
-# The same for the rounds of what hubs leave apart; the last one decides.
-MARGINS = (0.0, MARGIN)
 SEED = 20_24
+# Nodes above which a bucket with several components is long.
+LONG = 64
+# About how many of its nodes are compared with as many others at once, pairs of such blocks that go to Python and pairs
+# of nodes in one step there.
+BLOCK, BLOCK_PAIRS, STEP = 128, 24, 1 << 13
+# Shingles that go to Spark at a time.
+VALUES = 1 << 16
 
 
 def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,6 +169,15 @@ def _sets(words: int):
     return run
 
 
+def _each_value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, values in zip(batch.column("node"), batch.column("values"), strict=True):
+            found = np.frombuffer(values.as_buffer(), np.int64)
+            for k in range(0, len(found), VALUES):
+                part = pa.array(found[k : k + VALUES])
+                yield pa.RecordBatch.from_arrays([pa.repeat(node, len(part)), part], ["node", "value"])
+
+
 def _confirm(percent: int):
     """Keep pairs with 100 * intersection >= percent * union on the full sets."""
 
@@ -179,6 +195,48 @@ def _confirm(percent: int):
     return run
 
 
+def _pairs_of(column: pa.Array) -> np.ndarray:
+    """Names of nodes as two numbers each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
+
+
+class Block:
+    """Nodes of one bucket as arrays."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.node, root = rows.field("node"), rows.field("root")
+        self.root = _pairs_of(root)
+        self.size, self.own = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("n_shingles", "own"))
+        sketch, bands = (rows.field(n).flatten().to_numpy(zero_copy_only=False) for n in ("sketch", "bands"))
+        # Of a negative number, the ones of its absolute value would be counted.
+        self.sketch, self.bands = sketch.view(np.uint64).reshape(len(rows), -1), bands.reshape(len(rows), -1)
+
+
+def _close_blocks(percent: int, above: int, limit: int):
+    """Pairs of two blocks of a bucket: of different components, not ruled out by their own shingles, with more than ``above`` and
+    at most ``limit`` differing bits, and with no smaller bucket in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, left, right, same in zip(*(batch.column(n) for n in ("bucket", "x", "y", "same")), strict=True):
+                x, y = Block(left.values), Block(right.values)
+                able = (x.root[:, None] != y.root[None]).any(2)
+                able &= (100 + percent) * np.minimum(x.own[:, None], y.own) >= percent * (x.size[:, None] + y.size)
+                if same.as_py():  # each pair once
+                    able = np.triu(able, 1)
+                every_a, every_b = np.nonzero(able)
+                for k in range(0, len(every_a), STEP):
+                    a, b = every_a[k : k + STEP], every_b[k : k + STEP]
+                    bits = np.bitwise_count(x.sketch[a] ^ y.sketch[b]).sum(1, dtype=np.int64)
+                    keep = (bits > above) & (bits <= limit)
+                    a, b = a[keep], b[keep]
+                    shared = np.where(x.bands[a] == y.bands[b], x.bands[a], np.iinfo(np.int64).max)
+                    keep = shared.min(1, initial=np.iinfo(np.int64).max) == bucket.as_py()
+                    yield pa.RecordBatch.from_arrays([x.node.take(pa.array(a[keep])), y.node.take(pa.array(b[keep]))], ["a", "b"])
+
+    return run
+
+
 def differing_bits(left: Column, right: Column) -> Column:
     parts = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(SKETCH_BITS // 64)]
     total = parts[0]
@@ -191,7 +249,7 @@ class NearDuplicates:
     """Links between the shingle sets of a table of texts."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, mark: Column | None = None):
-        self.percent, self.words, self.sets = percent, words, None
+        self.percent, self.words, self.sets, self.lone = percent, words, None, None
         self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = self.texts.schema["id"].dataType.simpleString()
         # What tells rows of one id apart, where asked for.
@@ -221,15 +279,18 @@ class NearDuplicates:
         best = edges.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
         links = written(self.confirmed(best), "links")
         roots = written(components(links), "roots")
-        open_edges, above = self.apart(edges.select("a", "b"), roots), -1
-        for margin in MARGINS:
-            limit = sketch_limit(self.percent / 100, margin)
-            rest = written(self.rest(shared, roots, above, limit).unionByName(open_edges), "rest")
-            self.add_sets(rest)
-            links = links.unionByName(written(self.confirmed(rest), "links"))
+        open_edges = self.apart(edges.select("a", "b"), roots)
+        self.lone = self.lone_shingles(shared, roots)
+        if self.lone is not None:
+            middle = written(self.middles(shared, roots), "middles")
+            self.add_sets(middle)
+            links = links.unionByName(written(self.confirmed(middle), "links"))
             roots = written(components(links), "roots")
-            open_edges, above = open_edges.limit(0), limit
-        return roots
+        limit = sketch_limit(self.percent / 100)
+        rest = written(self.rest(shared, roots, -1, limit).unionByName(open_edges), "rest")
+        self.add_sets(rest)
+        links = links.unionByName(written(self.confirmed(rest), "links"))
+        return written(components(links), "roots")
 
     def close_pairs(self, edges: DataFrame) -> DataFrame:
         """Pairs ``a, b`` whose sketches differ in few enough bits, with their number."""
@@ -251,25 +312,68 @@ class NearDuplicates:
         both = self.labelled(self.labelled(edges, roots, "a", "ra"), roots, "b", "rb")
         return both.where("ra != rb").select("a", "b")
 
+    def mixed(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
+        """Rows of the buckets with several components: ``bucket, node, root, largest, n_rows``."""
+        placed = self.labelled(shared.select("bucket", "node"), roots, "node", "root")
+        counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+        mixed_ones = (
+            counts.groupBy("bucket")
+            .agg(
+                F.count(F.lit(1)).alias("roots"),
+                F.max_by("root", F.struct("n", "root")).alias("largest"),
+                F.sum("n").alias("n_rows"),
+            )
+            .where("roots > 1").select("bucket", "largest", "n_rows")
+        )
+        return placed.join(mixed_ones, "bucket")
+
+    def lone_shingles(self, shared: DataFrame, roots: DataFrame) -> DataFrame | None:
+        """``node, n_shingles, lone`` of the nodes in long buckets with several components: how many of a node's shingles no
+        other such node has. None without such buckets. Links only make these buckets fewer, so the numbers stay bounds."""
+        nodes = written(self.mixed(shared, roots).where(F.col("n_rows") > LONG).select("node").distinct(), "long")
+        if nodes.isEmpty():
+            return None
+        self.add_sets(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")))
+        values = self.sets.join(nodes, "node", "left_semi").mapInArrow(_each_value, "node binary, value long")
+        once = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+        lone = once.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
+        every = self.nodes.select("node", "n_shingles").join(nodes, "node", "left_semi").join(lone, "node", "left")
+        return written(every.fillna(0, ["lone"]), "lone")
+
+    def may_reach(self, own: Column, size: Column, own_2: Column, size_2: Column) -> Column:
+        """Whether two sets of which no more than the ``own`` shingles are shared can be similar enough."""
+        return (100 + self.percent) * F.least(own, own_2) >= self.percent * (size + size_2)
+
+    def middles(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of a node in a long bucket and the bucket's middle, if in different components and close."""
+        rows = self.mixed(shared, roots).where(F.col("n_rows") > LONG).join(self.lone, "node")
+        own = F.col("n_shingles") - F.col("lone")
+        rows = rows.select("bucket", F.struct("node", "root", "n_shingles", own.alias("own")).alias("x"))
+        share = F.struct((F.col("x.own") / F.col("x.n_shingles")).alias("share"), F.col("x.node").alias("node"))
+        both = rows.join(rows.groupBy("bucket").agg(F.max_by("x", share).alias("y")), "bucket")
+        able = self.may_reach(F.col("x.own"), F.col("x.n_shingles"), F.col("y.own"), F.col("y.n_shingles"))
+        apart = both.where((F.col("x.root") != F.col("y.root")) & able)
+        return self.close_pairs(apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()).select("a", "b")
+
     def rest(self, shared: DataFrame, roots: DataFrame, above: int, limit: int) -> DataFrame:
         """Pairs of one bucket and different components whose sizes are close and whose sketches differ in more than
         ``above``, at most ``limit`` bits. Pairs with fewer have been compared while their components were smaller.
 
         Sets this similar differ in size by at most the threshold: their size classes, in steps
-        of it, are equal or neighbours.
+        of it, are equal or neighbours. Nor is a pair listed whose lone shingles already rule it out.
         """
-        placed = self.labelled(shared.select("bucket", "node"), roots, "node", "root")
-        counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed_ones = (
-            counts.groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("largest"))
-            .where("roots > 1").select("bucket", "largest")
-        )
         size = F.floor(F.log("n_shingles") / math.log(100 / self.percent)).cast("int").alias("size")
-        held = placed.join(mixed_ones, "bucket").join(self.nodes.select("node", size, "sketch", "bands"), "node")
-        held = written(held, "mixed")
+        held = self.mixed(shared, roots).join(self.nodes.select("node", "n_shingles", size, "sketch", "bands"), "node")
+        own = F.col("n_shingles")
+        if self.lone is not None:
+            held = held.join(self.lone.select("node", "lone"), "node", "left")
+            # Outside long buckets other nodes may have these shingles too.
+            own = own - F.when(F.col("n_rows") > LONG, F.coalesce("lone", F.lit(0))).otherwise(F.lit(0))
+        held = held.withColumn("own", own).where(100 * F.col("own") >= self.percent * F.col("n_shingles"))
+        every = written(held.drop("lone"), "mixed")
+        held, long = every.where(F.col("n_rows") <= LONG), every.where(F.col("n_rows") > LONG)
         around = F.explode(F.array([F.col("size") + d for d in (-1, 0, 1)])).alias("size")
-        minor = held.where("root != largest").select("bucket", "node", "root", "sketch", "bands", around).alias("x")
+        minor = held.where("root != largest").select("bucket", "node", "root", "n_shingles", "own", "sketch", "bands", around).alias("x")
         bits = differing_bits(F.col("x.sketch"), F.col("y.sketch"))
         close = bits <= limit if above < 0 else bits.between(above + 1, limit)
         # Both stand in all of their common buckets.
@@ -277,8 +381,24 @@ class NearDuplicates:
         # Both outside the largest component: each pair once.
         once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
         same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.size") == F.col("y.size"))
-        on = same & (F.col("x.root") != F.col("y.root")) & once & close & first
-        return minor.join(held.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        able = self.may_reach(F.col("x.own"), F.col("x.n_shingles"), F.col("y.own"), F.col("y.n_shingles"))
+        on = same & (F.col("x.root") != F.col("y.root")) & once & able & close & first
+        few = minor.join(held.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        return few if self.lone is None else few.unionByName(self.rest_of_long(long, above, limit))
+
+    def rest_of_long(self, held: DataFrame, above: int, limit: int) -> DataFrame:
+        """The same of long buckets, whose nodes outside the largest component meet all others block by block."""
+        slot = F.pmod(F.xxhash64("node"), F.ceil(F.col("n_rows") / BLOCK)).alias("slot")
+        one = F.struct("node", "root", "n_shingles", "own", "sketch", "bands").alias("one")
+        rows = held.select("bucket", (F.col("root") != F.col("largest")).alias("minor"), slot, one)
+        blocks = rows.groupBy("bucket", "minor", "slot").agg(F.collect_list("one").alias("block"))
+        same = F.col("y.minor") & (F.col("x.slot") == F.col("y.slot"))
+        on = (F.col("x.bucket") == F.col("y.bucket")) & (~F.col("y.minor") | (F.col("x.slot") <= F.col("y.slot")))
+        both = blocks.where("minor").alias("x").join(blocks.alias("y"), on).select(
+            "x.bucket", F.col("x.block").alias("x"), F.col("y.block").alias("y"), same.alias("same")
+        )
+        with small_batches(held.sparkSession, BLOCK_PAIRS):
+            return written(both.mapInArrow(_close_blocks(self.percent, above, limit), "a binary, b binary"), "close")
 
     def add_sets(self, pairs: DataFrame) -> None:
         """Build the sets of the pairs' nodes from their texts, unless they are there already."""

@@ -137,3 +137,53 @@ def test_rounds_by_sketch_part_the_pairs(spark):
     first, last = pairs(-1, tight), pairs(tight, full)
     assert tight < full and first and last and not first & last
     assert first | last == pairs(-1, full)
+
+
+def test_long_buckets_with_and_without_blocks(spark, monkeypatch):
+    """Variants around the threshold of one text: no link is lost, and few pairs are compared."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    table = [(i, edited(rng, base, rng.randint(1, 7))) for i in range(240)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    seen = []
+    confirmed = near_dedup.NearDuplicates.confirmed
+
+    def counted(self, pairs):
+        seen.append(pairs.count())
+        return confirmed(self, pairs)
+
+    monkeypatch.setattr(near_dedup.NearDuplicates, "confirmed", counted)
+    want = expected(table, 3, 85)
+    assert sorted(tuple(r) for r in near_duplicates(docs, 3, 85).collect()) == want
+    assert len(seen) == 3  # best hubs, middles, the rest
+    apart = len({r[2] for r in want})
+    # Every variant that is linked with none may meet all others, but most that differ too much do not.
+    assert seen[-1] < 0.5 * apart * len(table)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    assert sorted(tuple(r) for r in near_duplicates(docs, 3, 85).collect()) == want
+
+
+def test_blocks_give_the_pairs_of_the_join(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    table = [(i, edited(rng, base, rng.randint(2, 12))) for i in range(90)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    full = near_dedup.sketch_limit(0.85)
+
+    def pairs(long, exact):
+        monkeypatch.setattr(near_dedup, "LONG", long)
+        monkeypatch.setattr(near_dedup, "BLOCK", 20)
+        job = near_dedup.NearDuplicates(docs, 3, 85, "doc_id", "text")
+        shared = job.nodes.select("node", F.explode("bands").alias("bucket"))
+        none = job.nodes.select("node", F.col("node").alias("root")).limit(0)
+        job.lone = job.lone_shingles(shared, none)
+        assert (job.lone is not None) == (long < 90)
+        found = job.rest(shared, none, -1, full)
+        if exact:
+            job.add_sets(found)
+            found = job.confirmed(found)
+        return [frozenset((bytes(r.a), bytes(r.b))) for r in found.collect()]
+
+    by_join, by_block = pairs(1000, False), pairs(10, False)
+    assert len(by_block) == len(set(by_block)) < len(by_join) and set(by_block) < set(by_join)
+    assert set(pairs(1000, True)) == set(pairs(10, True)) != set()
