@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfrank.llm.common import SPACE_WORDS, Words, mixed, run_hash, table, text_slices, worker_store
+from shelfrank.llm.common import SMALL_SLICE, SPACE_WORDS, Words, mixed, run_hash, table, text_slices, worker_store
 from shelfrank.llm.registry import query
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,6 +40,8 @@ WARM_EPOCHS, EPOCHS = 5, 80
 LEAST_SEEN = 4
 RATE = 4.0
 THRESHOLD = 0.7
+# Entries of the sample's bags, and new words, that training handles at once: the driver holds the bags and little beside them.
+STEP, NEW_WORDS = 1 << 17, 1 << 13
 # Word scores that one worker remembers.
 REMEMBERED = 2_000_000
 
@@ -70,6 +72,14 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.bincount(owner, minlength=len(words))
 
 
+def summed(index: np.ndarray, values, n: int) -> np.ndarray:
+    """Sums by index, in the order of the entries; ``values(a, b)`` gives those of the entries from a to b."""
+    out = np.zeros(n)
+    for k in range(0, len(index), STEP):
+        np.add.at(out, index[k : k + STEP].astype(np.intp), values(k, k + STEP))
+    return out
+
+
 @dataclass
 class ToxicityModel:
     """What scoring needs: per bucket the embedding times the class weights' difference, and the bias."""
@@ -89,33 +99,50 @@ class Bags:
         batch = pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.large_string()), pa.array(np.arange(len(texts)))], ["text", "row"]
         )
-        for part in text_slices([batch]):
+        for part in text_slices([batch], limit=SMALL_SLICE):
             found = Words(part.column("text"), SPACE_WORDS)
             keys, first, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
             new = [i for i, key in enumerate(keys.tolist()) if key not in known]
             data = found.raw.tobytes()
             names = [data[found.start[first[i]] : found.end[first[i]]].decode() for i in new]
             known.update(zip(keys[new].tolist(), range(len(known), len(known) + len(new)), strict=True))
-            got, size = word_features(names)
-            buckets.append(got.astype(np.int32))
-            sizes.append(size.astype(np.int32))
+            for k in range(0, len(names), NEW_WORDS):
+                got, size = word_features(names[k : k + NEW_WORDS])
+                buckets.append(got.astype(np.int32))
+                sizes.append(size.astype(np.int32))
             number = np.fromiter((known[k] for k in keys.tolist()), np.int32, len(keys))
             words.append(number[inverse])
             rows.append(part.column("row").to_numpy()[found.row].astype(np.int32))
             pairs = np.unique(found.row.astype(np.int64) * len(keys) + inverse)
             seen_in.append(number[pairs % max(len(keys), 1)])
-        joined = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (words, rows, buckets, sizes, seen_in)]
-        self.word, self.text, bucket, self.all_sizes, seen = joined
-        del words, rows, buckets, sizes, seen_in, known
+        del known
+        one = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.word, self.text, self.all_sizes, seen = (one(x) for x in (words, rows, sizes, seen_in))
+        del words, rows, seen_in
         texts_with = np.bincount(seen, minlength=len(self.all_sizes))
-        often = np.bincount(bucket, np.repeat(texts_with, self.all_sizes), BUCKETS)
+        del seen
+        often, owners, at = np.zeros(BUCKETS), [], 0
+        for bucket, size in zip(buckets, sizes, strict=True):
+            owners.append(np.repeat(np.arange(at, at + len(size), dtype=np.int32), size))
+            np.add.at(often, bucket.astype(np.intp), texts_with[owners[-1]].astype(float))
+            at += len(size)
         # Only buckets seen often enough have a vector.
         self.active = np.flatnonzero(often >= LEAST_SEEN)
         number = np.full(BUCKETS, -1, np.int32)
         number[self.active] = np.arange(len(self.active))
-        kept = number[bucket] >= 0
-        self.owner = np.repeat(np.arange(len(self.all_sizes), dtype=np.int32), self.all_sizes)[kept]
-        self.buckets = number[bucket[kept]]
+        for k, bucket in enumerate(buckets):
+            active = number[bucket]
+            kept = active >= 0
+            buckets[k], owners[k] = active[kept], owners[k][kept]
+        # One part after another moves over.
+        total = sum(map(len, owners))
+        self.owner, self.buckets, at = np.empty(total, np.int32), np.empty(total, np.int32), 0
+        for k in range(len(owners)):
+            n = len(owners[k])
+            self.owner[at : at + n], self.buckets[at : at + n] = owners[k], buckets[k]
+            owners[k] = buckets[k] = None
+            at += n
+        self.counts: dict[int, np.ndarray] = {}
         counts = np.bincount(self.text, minlength=len(texts))
         place = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
         head = place % WINDOW == 0
@@ -125,9 +152,11 @@ class Bags:
 
     def means(self, worth: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
         """Per group of words: mean worth of its buckets, and their number."""
-        per_word = np.bincount(self.owner, worth[self.buckets], len(self.all_sizes))
-        total = np.bincount(group, per_word[self.word], groups)
-        count = np.bincount(group, self.all_sizes[self.word], groups)
+        per_word = summed(self.owner, lambda a, b: worth[self.buckets[a:b]], len(self.all_sizes))
+        total = summed(group, lambda a, b: per_word[self.word[a:b]], groups)
+        if id(group) not in self.counts:  # texts or windows, which stay
+            self.counts[id(group)] = summed(group, lambda a, b: self.all_sizes[self.word[a:b]], groups)
+        count = self.counts[id(group)]
         return total / np.maximum(count, LEAST_FEATURES), count
 
     def tops(self, mean: np.ndarray) -> np.ndarray:
@@ -137,8 +166,8 @@ class Bags:
 
     def slopes(self, share: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Sum over all words of their group's share, by active bucket."""
-        weight = np.bincount(self.word, share[group], len(self.all_sizes))
-        return np.bincount(self.buckets, weight[self.owner], len(self.active))
+        weight = summed(self.word, lambda a, b: share[group[a:b]], len(self.all_sizes))
+        return summed(self.buckets, lambda a, b: weight[self.owner[a:b]], len(self.active))
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
@@ -184,7 +213,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> ToxicityModel:
         if epoch in (0, WARM_EPOCHS):
             rate = RATE / (np.abs(slope).max() + 1e-12)
         down = vectors.T @ slope
-        vectors -= rate * slope[:, None] * difference
+        for k in range(DIMENSIONS):
+            vectors[:, k] -= rate * slope * difference[k]
         for k, sign in ((1, 1.0), (0, -1.0)):
             weights[k] -= 0.02 * sign * down / (np.abs(down).max() + 1e-12)
             bias[k] -= 0.5 * sign * off.sum()

@@ -1,6 +1,7 @@
 """Toxicity: held-out accuracy, unseen spellings, and odd inputs."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from llm_helpers import no_documents, odd_documents
 
 from shelfrank.llm.toxicity import (
+    Bags,
     WordWorth,
     fit_toxicity,
     op3_toxicity,
@@ -87,3 +89,20 @@ def test_same_model_for_any_partitioning(spark):
     marks = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)], "doc_id long, toxic int")
     one, two = fit_toxicity(docs.repartition(1), marks), fit_toxicity(docs.repartition(6), marks.repartition(3))
     assert np.array_equal(one.worth, two.worth) and one.bias == two.bias
+
+
+def test_training_holds_little_beside_the_bags():
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.randrange(10**9):x}w{rng.randrange(10**9):x}" for _ in range(250)) for _ in range(300)]
+    tracemalloc.start()
+    try:
+        bags = Bags(texts)
+        held, most = tracemalloc.get_traced_memory()
+        bags.means(np.ones(len(bags.active)), bags.window, len(bags.window_text))
+        bags.slopes(np.ones(len(bags.window_text)), bags.window)
+        later = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    features = int(bags.all_sizes.sum())
+    assert features > 2_000_000
+    assert most < 40 * features + (32 << 20) and later == most
