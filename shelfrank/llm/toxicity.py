@@ -99,21 +99,29 @@ class Bags:
         batch = pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.large_string()), pa.array(np.arange(len(texts)))], ["text", "row"]
         )
-        for part in text_slices([batch], limit=SMALL_SLICE):
-            found = Words(part.column("text"), SPACE_WORDS)
-            keys, first, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
-            new = [i for i, key in enumerate(keys.tolist()) if key not in known]
-            data = found.raw.tobytes()
-            names = [data[found.start[first[i]] : found.end[first[i]]].decode() for i in new]
-            known.update(zip(keys[new].tolist(), range(len(known), len(known) + len(new)), strict=True))
-            for k in range(0, len(names), NEW_WORDS):
-                got, size = word_features(names[k : k + NEW_WORDS])
+        for part in text_slices([batch]):
+            hashes, at, new = [], [], {}
+            for piece in text_slices([part], limit=SMALL_SLICE):
+                found = Words(piece.column("text"), SPACE_WORDS)
+                keys, first = np.unique(found.hash, return_index=True)
+                data = found.raw.tobytes()
+                for key, i in zip(keys.tolist(), first.tolist(), strict=True):
+                    if key not in known and key not in new:
+                        new[key] = data[found.start[i] : found.end[i]].decode()
+                hashes.append(found.hash)
+                at.append(piece.column("row").to_numpy()[found.row].astype(np.int32))
+            # Words are numbered by hash within a slice: sums over them depend on the order.
+            ordered = sorted(new)
+            known.update(zip(ordered, range(len(known), len(known) + len(new)), strict=True))
+            for k in range(0, len(ordered), NEW_WORDS):
+                got, size = word_features([new[key] for key in ordered[k : k + NEW_WORDS]])
                 buckets.append(got.astype(np.int32))
                 sizes.append(size.astype(np.int32))
+            keys, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
             number = np.fromiter((known[k] for k in keys.tolist()), np.int32, len(keys))
             words.append(number[inverse])
-            rows.append(part.column("row").to_numpy()[found.row].astype(np.int32))
-            pairs = np.unique(found.row.astype(np.int64) * len(keys) + inverse)
+            rows.append(np.concatenate(at))
+            pairs = np.unique(rows[-1].astype(np.int64) * len(keys) + inverse)
             seen_in.append(number[pairs % max(len(keys), 1)])
         del known
         one = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int32)
