@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfrank.operators import graph
+from shelfrank.operators import embedding, graph, neighbours
 from shelfrank.plans.recommenders import content_profiles
 from shelfrank.session import CLEANUP, cut_lineage
 
@@ -72,3 +72,23 @@ def test_propagation_in_passes_is_the_same(spark, many_passes, monkeypatch):
     whole = {r.node: r.vec for r in graph.propagate(edges, start, 5, 2).collect()}
     assert set(made) == set(whole)
     assert all(np.allclose(np.array(made[n], float), np.array(whole[n], float), equal_nan=True) for n in made)
+
+
+def test_tiles_hold_every_pair_once_and_give_the_same_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    paths = [([int(x) for x in rng.integers(-5, 40, rng.integers(0, 9))],) for _ in range(150)]
+    walks = spark.createDataFrame(paths, "path array<long>").repartition(5)
+    whole = {r.node: np.array(r.vec) for r in embedding.walk_vectors(walks, 45, 3, 2, 1).collect()}
+    counts = {(r.src, r.dst): r.n for r in embedding.cooccurrences(walks, 3).collect()}
+    monkeypatch.setattr(embedding, "TILE_PAIRS", 100)
+    monkeypatch.setattr(embedding, "PIECE", 7)
+    monkeypatch.setattr(embedding, "HELD_PAIRS", 50)
+    monkeypatch.setattr(embedding, "SUMMED_ROWS", 20)
+    blocks = embedding._blocks(embedding._meetings(walks, 3))
+    tiles = embedding._met(walks, 3, blocks)
+    assert tiles.select("i", "j").distinct().count() > 10 and tiles.where("i > j").isEmpty()
+    assert {(r.src, r.dst): r.n for r in embedding.cooccurrences(walks, 3).collect()} == counts
+    made = {r.node: np.array(r.vec) for r in embedding.walk_vectors(walks, 45, 3, 2, 1).collect()}
+    assert set(made) == set(whole)
+    a, b = (np.stack([x[n] for n in sorted(x)]) for x in (made, whole))
+    assert np.allclose(a @ a.T, b @ b.T, atol=1e-6)
