@@ -92,3 +92,44 @@ def test_tiles_hold_every_pair_once_and_give_the_same_vectors(spark, monkeypatch
     assert set(made) == set(whole)
     a, b = (np.stack([x[n] for n in sorted(x)]) for x in (made, whole))
     assert np.allclose(a @ a.T, b @ b.T, atol=1e-6)
+
+
+@pytest.mark.parametrize(("hot_limit", "pairs"), [(4, 3), (1000, 300)])
+def test_neighbours_in_passes_are_the_same(spark, monkeypatch, hot_limit, pairs):
+    rng = np.random.default_rng(6)
+    rows = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 30, 200), rng.zipf(1.5, 200) % 25, strict=True)})
+    features = spark.createDataFrame([(u, i, float(rng.integers(1, 4))) for u, i in rows], "user_idx long, feat long, w double")
+    session = features.select("user_idx", F.col("feat").alias("item_idx"), (F.col("w") > 1).cast("int").alias("response"))
+
+    def found():
+        near = [neighbours.dot_neighbours(features, 3, hot_limit), neighbours.session_neighbours(session, 3, hot_limit)]
+        return [sorted((r.user_idx, r["rank"], r.neighbour, r.similarity) for r in n.collect()) for n in near]
+
+    whole = found()
+    monkeypatch.setattr(neighbours, "PASS_PAIRS", pairs)
+    written = []
+    monkeypatch.setattr(neighbours, "cut_lineage", lambda df: (written.append(df.columns), cut_lineage(df))[1])
+    assert found() == whole
+    assert sum(c == ["user_idx", "neighbour", "similarity"] for c in written) >= 4
+
+
+def test_offers_in_passes_are_the_same(spark, monkeypatch):
+    from shelfrank.plans import recommenders
+
+    rng = np.random.default_rng(7)
+    log = [(int(u), int(i), int(r), int(r), int(t), n) for n, (u, i, r, t) in enumerate(zip(rng.integers(0, 12, 90), rng.integers(0, 20, 90), rng.integers(0, 2, 90), rng.integers(0, 4, 90), strict=True))]
+    log = spark.createDataFrame(log, "user_idx long, item_idx long, response int, relevance int, iter_no int, order_id long")
+    log = log.withColumns({"ts": F.timestamp_seconds("order_id"), "line_no": F.lit(1), "paid": F.lit(1.0)})
+    users = spark.range(14).withColumnRenamed("id", "user_idx")
+    items = spark.range(22).select(F.col("id").alias("item_idx"), (F.col("id") % 5 + 1.0).alias("price"))
+
+    def found():
+        recs = recommenders.SequenceKnn("temporal").fit(log, users, items).predict(log, 4, users, items)
+        return sorted((r.user_idx, r["rank"], r.item_idx, r.relevance) for r in recs.collect())
+
+    whole = found()
+    monkeypatch.setattr(recommenders, "PASS_OFFERS", 100)
+    written = []
+    monkeypatch.setattr(recommenders, "cut_lineage", lambda df: (written.append(df.columns), cut_lineage(df))[1])
+    assert found() == whole
+    assert written.count(recommenders.RECS) >= 4
